@@ -319,11 +319,9 @@ def revisions(t: Tables) -> DataFrame:
 def month_matrix(t: Tables, *keys: str) -> DataFrame:
     """Year x month matrix of order values as texts with thousands commas."""
     rows = t.orders if not keys else _orders_of_nations(t)
-    totals = rows.groupBy(*keys, F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("m")).agg(
-        F.format_number(F.sum(F.round("o_totalprice").cast("long")), 0).alias("text")
-    )
-    return totals.groupBy(*keys, "year").agg(
-        *[F.max(F.when(F.col("m") == i, F.col("text"))).alias(name) for i, name in enumerate(MONTHS, 1)]
+    month, whole = F.month("o_orderdate"), F.round("o_totalprice").cast("long")
+    return rows.groupBy(*keys, F.year("o_orderdate").alias("year")).agg(
+        *[F.format_number(F.sum(F.when(month == i, whole)), 0).alias(name) for i, name in enumerate(MONTHS, 1)]
     )
 
 

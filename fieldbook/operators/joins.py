@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldbook.operators.literals import literal_table
+
 Key = str | tuple[str, str]
 
 
@@ -55,12 +57,13 @@ def suffix_join(left: DataFrame, right: DataFrame, keys: Sequence[Key], suffixes
     )
 
 
-def natural_full_join(left: DataFrame, right: DataFrame) -> DataFrame:
+def natural_full_join(left: DataFrame, right: DataFrame, right_unique: bool = False) -> DataFrame:
     """Full outer join on all shared columns, NULL matching NULL.
 
     Written as matched rows plus the unmatched rows of each side: Spark can split a hot key
     in inner and anti joins but not in a full outer join. The anti joins look up distinct
-    keys, so copies of a key collapse before the shuffle.
+    keys, so copies of a key collapse before the shuffle. If the right side is known to hold
+    each key once, only the left side can be hot and one left join replaces two of the parts.
     """
     shared = [c for c in left.columns if c in right.columns]
     if not shared:
@@ -69,18 +72,18 @@ def natural_full_join(left: DataFrame, right: DataFrame) -> DataFrame:
     differing = [c for c in shared if types[0][c] != types[1][c]]
     if differing:
         raise ValueError(f"types differ in {differing}")
-    matched = equi_join(left, right, shared)
-    left_only = equi_join(left, right.select(*shared).distinct(), shared, "left_anti")
+    if right_unique:
+        kept = equi_join(left, right, shared, "left")
+    else:
+        left_only = equi_join(left, right.select(*shared).distinct(), shared, "left_anti")
+        kept = equi_join(left, right, shared).unionByName(left_only, allowMissingColumns=True)
     right_only = equi_join(right, left.select(*shared).distinct(), shared, "left_anti")
-    return (
-        matched.unionByName(left_only, allowMissingColumns=True)
-        .unionByName(right_only, allowMissingColumns=True)
-    )
+    return kept.unionByName(right_only, allowMissingColumns=True)
 
 
 def lookup(df: DataFrame, key: str, names: Mapping[str, str], new: str) -> DataFrame:
     """Name for a key from a literal dictionary; NULL if it has none."""
-    table = df.sparkSession.createDataFrame(list(names.items()), f"__key string, {new} string")
+    table = literal_table(df.sparkSession, names.items(), f"__key:string, {new}:string")
     return df.join(F.broadcast(table), F.col(key).cast("string") == F.col("__key"), "left").drop("__key")
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from fieldbook.operators.literals import literal_table
+
 
 def bind_rows(*frames: DataFrame) -> DataFrame:
     """Union by column name; absent columns become NULL."""
@@ -31,7 +33,7 @@ def difference(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def missing_keys(found: DataFrame, column: str, expected: Iterable[int]) -> DataFrame:
     """Expected integer keys that do not occur in a column."""
-    wanted = found.sparkSession.createDataFrame([(int(k),) for k in expected], f"{column} int")
+    wanted = literal_table(found.sparkSession, [(int(k),) for k in expected], f"{column}:int")
     return wanted.join(found.select(column).distinct(), column, "left_anti").orderBy(column)
 
 

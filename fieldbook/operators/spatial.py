@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fieldbook.functions.geometry import great_circle_m, in_polygon
 from fieldbook.operators.ranking import bottom_n
 
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+
 
 def _cell(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(float(size)))
@@ -43,14 +45,23 @@ def polygon_cells(polygons: DataFrame, size: float, edges: str = "edges") -> Dat
     return cells.withColumn(edges, near).where(F.size(edges) > 0)
 
 
+def _cell_bytes(cells: DataFrame) -> int:
+    """Size of the cell table: its edges (four doubles and overhead) plus a row allowance."""
+    per_row = F.size("__edges") * 64 + 256
+    return cells.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0))).first()[0]
+
+
 def join_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, size: float,
                   edges: str = "edges", how: str = "left") -> DataFrame:
     """Attach the polygons a point lies in; unmatched points stay with NULLs.
 
     Boundary points belong to every polygon they touch. ``how`` may be ``left``, ``inner`` or
-    ``left_semi``. The cell table is not hinted: a large one is shuffled, a small one broadcast.
+    ``left_semi``. The cell table is measured first and broadcast below the limit; beyond it
+    both sides are shuffled by cell and AQE splits crowded cells.
     """
     cells = polygon_cells(polygons, size, edges).withColumnRenamed(edges, "__edges")
+    if _cell_bytes(cells) <= BROADCAST_LIMIT_BYTES:
+        cells = F.broadcast(cells)
     located = points.withColumn("__px", _cell(F.col(x), size)).withColumn("__py", _cell(F.col(y), size))
     condition = (
         (F.col("__px") == F.col("__cx"))

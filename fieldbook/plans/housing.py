@@ -10,6 +10,7 @@ from fieldbook.functions.nulls import if_else, strict_sum
 from fieldbook.functions.numbers import ratio, text_to_double, text_to_int
 from fieldbook.functions.text import prefix, remove_first, remove_first_text, state_code, trim_space
 from fieldbook.operators.joins import equi_join, suffix_join
+from fieldbook.operators.literals import literal_table
 from fieldbook.operators.ranking import top_n, top_n_per_group
 from fieldbook.operators.reshape import drop_prefixed, ints_where_named
 from fieldbook.operators.sets import bind_same, require_complete
@@ -50,7 +51,7 @@ def industry_titles(listing: DataFrame, label: str = "NAICS") -> DataFrame:
         "code", title.alias("title"),
         F.when(F.length("code") <= 5, F.length("code") - 1).alias("depth"),
     ).where(F.col("depth").isNotNull())
-    ranges = listing.sparkSession.createDataFrame(RANGE_SECTORS, "code string, title string, depth int")
+    ranges = literal_table(listing.sparkSession, RANGE_SECTORS, "code:string, title:string, depth:int")
     return bind_same(listed, ranges)
 
 

@@ -82,7 +82,7 @@ def clean_permits(newest: DataFrame, mid: DataFrame, oldest: DataFrame, oldest_o
     # The first row of an event is chosen among all its rows, hence before the filter.
     early = wanted(harmonise_oldest(oldest, oldest_order))
     # Each of these is read several times below.
-    combined = natural_full_join(keep(recent), keep(early))
+    combined = natural_full_join(keep(recent), keep(early), right_unique=True)
     rows = split_to_rows(combined, "zipcodes").withColumns({
         "zipcode": trim_space("zipcodes"),
         "start_year": F.year("startdatetime"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from fieldbook.operators.reshape import tidy_names
 
@@ -50,7 +50,7 @@ def read_year_folders(spark: SparkSession, root: str, schema: StructType | str,
     """Parquet written as ``year=YYYY`` folders; other years are not even listed as input."""
     full = StructType.fromDDL(schema) if isinstance(schema, str) else StructType(list(schema.fields))
     if "year" not in full.fieldNames():
-        full = StructType([*full.fields]).add("year", "int")
+        full = StructType([*full.fields, StructField("year", IntegerType())])
     return spark.read.schema(full).parquet(root).where(F.col("year").isin([int(y) for y in years]))
 
 
