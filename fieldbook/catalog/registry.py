@@ -6,10 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from fieldbook.session import apply_skew_settings
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """The parquet tables of one scale factor."""
 
@@ -17,8 +21,11 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        # Kept on the instance, so that one query lists a file and reads its schema once.
-        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # The schema is read from a file's footer once, not by every query.
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        table = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         setattr(self, name, table)
         return table
 

@@ -12,6 +12,7 @@ from fieldbook.catalog.registry import Tables
 from fieldbook.functions.geometry import EDGES_TYPE, ring_edges
 from fieldbook.functions.text import trim_space
 from fieldbook.operators.reshape import MONTHS, split_to_rows
+from fieldbook.sources.materialise import keep
 
 
 def cents(column: str) -> Column:
@@ -466,7 +467,8 @@ def permits_newest(t: Tables) -> DataFrame:
             F.date_format(column, "MM/dd/yyyy HH:mm:ss")
         )
 
-    texts = rows.withColumns({c: text(c) for c in ("startdatetime", "enddatetime", "enteredon")})
+    # Written out like the landed file: the texts are made once, not by every reader.
+    texts = keep(rows.withColumns({c: text(c) for c in ("startdatetime", "enddatetime", "enteredon")}))
     return texts.withColumnsRenamed({
         "eventid": "EventID", "eventtype": "EventType", "startdatetime": "StartDateTime",
         "enddatetime": "EndDateTime", "enteredon": "EnteredOn", "parkingheld": "ParkingHeld",

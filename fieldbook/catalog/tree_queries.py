@@ -130,7 +130,7 @@ def points_on_edges(t: Tables) -> DataFrame:
     """Line items as points of quantity and price: boundary points belong to each polygon."""
     fields = t.spark.createDataFrame([(n, ring_edges(ring)) for n, ring in _FIELD_RINGS], f"field int, edges {EDGES_TYPE}")
     points = t.lineitem.select("l_linenumber", "l_quantity", (F.col("l_extendedprice")).alias("price"))
-    located = join_polygons(points, fields, "l_quantity", "price", 5000.0)
+    located = join_polygons(points, fields, "l_quantity", "price", (1.0, 5000.0))
     return located.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("lines"))
 
 

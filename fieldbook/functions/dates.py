@@ -8,17 +8,23 @@ from fieldbook.functions.nulls import as_col
 
 
 def parse_mdy_hms(value: str | Column) -> Column:
-    """Month/day/year time, 12-hour with AM/PM or 24-hour; NULL if neither fits."""
+    """Month/day/year time, 12-hour with AM/PM or 24-hour; NULL if it does not fit.
+
+    Parsed as UTC and counted from the epoch, so that no session time zone shifts local times.
+    The ending decides the pattern first: a failed parse costs far more than a text test.
+    """
     c = as_col(value)
-    twelve = F.try_to_timestamp(c, F.lit("M/d/yyyy h:mm:ss a"))
-    day = F.try_to_timestamp(c, F.lit("M/d/yyyy H:mm:ss"))
-    return F.coalesce(twelve, day).cast("timestamp_ntz")
+    text = F.concat(c, F.lit(" Z"))
+    twelve = F.try_to_timestamp(text, F.lit("M/d/yyyy h:mm:ss a X"))
+    day = F.try_to_timestamp(text, F.lit("M/d/yyyy H:mm:ss X"))
+    moment = F.when(F.lower(F.right(c, F.lit(1))) == "m", twelve).otherwise(day)
+    return F.timestamp_add("SECOND", F.unix_seconds(moment), midnight("1970-01-01"))
 
 
 def parse_year_month(year: str | Column, month: str | Column) -> Column:
     """First day of a month given as a year and an English month abbreviation."""
     text = F.concat_ws(" ", as_col(year).cast("string"), as_col(month))
-    return F.try_to_timestamp(text, F.lit("yyyy MMM")).cast("date")
+    return F.try_to_date(text, "yyyy MMM")
 
 
 def year_week_label(day: str | Column) -> Column:

@@ -30,24 +30,33 @@ def _crosses(x: Column, y: Column, e: Column) -> Column:
     return ((e["y1"] > y) != (e["y2"] > y)) & (x < meet)
 
 
+def _beside(y: Column, e: Column) -> Column:
+    """Above or below the whole edge, which then neither crosses nor touches."""
+    return (y < F.least(e["y1"], e["y2"])) | (y > F.greatest(e["y1"], e["y2"]))
+
+
 def _touches(x: Column, y: Column, e: Column) -> Column:
     turn = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-    return (
-        (turn == 0)
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-    )
+    return (turn == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
 
 
 def in_polygon(x: str | Column, y: str | Column, edges: str | Column) -> Column:
-    """Inside or on the boundary."""
-    px, py, es = as_col(x), as_col(y), as_col(edges)
-    crossings = F.aggregate(
-        es,
+    """Inside or on the boundary.
+
+    One pass over the edges: the low bit counts crossings modulo 2, the next bit is set by a touch.
+    """
+    px, py = as_col(x), as_col(y)
+    state = F.aggregate(
+        as_col(edges),
         F.lit(0),
-        lambda n, e: n + F.when(_crosses(px, py, e), 1).otherwise(0),
+        lambda n, e: (
+            F.when(_beside(py, e), n)
+            .when(_touches(px, py, e), n.bitwiseOR(2))
+            .when(_crosses(px, py, e), n.bitwiseXOR(1))
+            .otherwise(n)
+        ),
     )
-    return (crossings % 2 == 1) | F.exists(es, lambda e: _touches(px, py, e))
+    return state > 0
 
 
 def great_circle_m(lon: str | Column, lat: str | Column, to_lon: float, to_lat: float) -> Column:

@@ -34,12 +34,12 @@ def difference(left: DataFrame, right: DataFrame) -> DataFrame:
 def missing_keys(found: DataFrame, column: str, expected: Iterable[int]) -> DataFrame:
     """Expected integer keys that do not occur in a column."""
     wanted = literal_table(found.sparkSession, [(int(k),) for k in expected], f"{column}:int")
-    return wanted.join(found.select(column).distinct(), column, "left_anti").orderBy(column)
+    return wanted.join(found.select(column).distinct(), column, "left_anti")
 
 
 def require_complete(found: DataFrame, column: str, expected: Iterable[int]) -> DataFrame:
     """The frame itself, or an error that names the missing keys."""
-    gaps = [row[0] for row in missing_keys(found, column, expected).collect()]
+    gaps = sorted(row[0] for row in missing_keys(found, column, expected).collect())
     if gaps:
         raise ValueError(f"no rows for {column}: {', '.join(map(str, gaps))}")
     return found

@@ -12,37 +12,57 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldbook.functions.geometry import great_circle_m, in_polygon
+from fieldbook.functions.geometry import EDGES_TYPE, great_circle_m, in_polygon
 from fieldbook.operators.ranking import bottom_n
 
+# One side length of a cell, or its width and height.
+CellSize = float | tuple[float, float]
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def _cell(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(float(size)))
+def _sides(size: CellSize) -> tuple[float, float]:
+    width, height = size if isinstance(size, tuple) else (size, size)
+    return float(width), float(height)
 
 
-def polygon_cells(polygons: DataFrame, size: float, edges: str = "edges") -> DataFrame:
-    """One row per polygon and grid cell (``__cx``, ``__cy``) of its bounding box."""
+def _cell(value: Column, side: float) -> Column:
+    return F.floor(value / F.lit(side))
+
+
+def polygon_cells(polygons: DataFrame, size: CellSize, edges: str = "edges") -> DataFrame:
+    """One row per polygon and grid cell (``__cx``, ``__cy``) that the polygon may share.
+
+    Cells without an edge are wholly inside (``__whole``, no edges kept) or outside (left out).
+    The others keep the edges that a point in the cell can need.
+    """
     es = F.col(edges)
+    width, height = _sides(size)
 
-    def span(low: str, high: str) -> Column:
+    def span(low: str, high: str, side: float) -> Column:
         values = F.flatten(F.array(F.transform(es, lambda e: e[low]), F.transform(es, lambda e: e[high])))
-        return F.sequence(_cell(F.array_min(values), size), _cell(F.array_max(values), size))
+        return F.sequence(_cell(F.array_min(values), side), _cell(F.array_max(values), side))
 
     cells = (
-        polygons.withColumn("__cx", F.explode(span("x1", "x2")))
-        .withColumn("__cy", F.explode(span("y1", "y2")))
+        polygons.withColumn("__cx", F.explode(span("x1", "x2", width)))
+        .withColumn("__cy", F.explode(span("y1", "y2", height)))
     )
-    # One cell of slack below and above and to the left absorbs rounding in the division.
-    left = (F.col("__cx") - 1) * F.lit(float(size))
-    bottom = (F.col("__cy") - 1) * F.lit(float(size))
-    top = (F.col("__cy") + 2) * F.lit(float(size))
+    left, bottom = F.col("__cx") * F.lit(width), F.col("__cy") * F.lit(height)
+    right, top = left + F.lit(width), bottom + F.lit(height)
+    # A little slack absorbs rounding in the division that assigns cells.
+    slack_x, slack_y = F.lit(width * 1e-6), F.lit(height * 1e-6)
+
     # A ray to the right can meet only edges of its own height that end right of the cell's left side.
-    near = F.filter(es, lambda e: (F.greatest(e["y1"], e["y2"]) >= bottom)
-                    & (F.least(e["y1"], e["y2"]) <= top)
-                    & (F.greatest(e["x1"], e["x2"]) >= left))
-    return cells.withColumn(edges, near).where(F.size(edges) > 0)
+    near = F.filter(es, lambda e: (F.greatest(e["y1"], e["y2"]) >= bottom - slack_y)
+                    & (F.least(e["y1"], e["y2"]) <= top + slack_y)
+                    & (F.greatest(e["x1"], e["x2"]) >= left - slack_x))
+    cells = cells.withColumn(edges, near)
+    cut = F.exists(edges, lambda e: F.least(e["x1"], e["x2"]) <= right + slack_x)
+    middle = in_polygon((left + right) / 2, (bottom + top) / 2, edges)
+    return (
+        cells.withColumn("__whole", ~cut & middle)
+        .where(F.col("__whole") | cut)
+        .withColumn(edges, F.when(~F.col("__whole"), F.col(edges)).otherwise(F.array().cast(EDGES_TYPE)))
+    )
 
 
 def _cell_bytes(cells: DataFrame) -> int:
@@ -51,7 +71,7 @@ def _cell_bytes(cells: DataFrame) -> int:
     return cells.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0))).first()[0]
 
 
-def join_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, size: float,
+def join_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, size: CellSize,
                   edges: str = "edges", how: str = "left") -> DataFrame:
     """Attach the polygons a point lies in; unmatched points stay with NULLs.
 
@@ -62,16 +82,17 @@ def join_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, size:
     cells = polygon_cells(polygons, size, edges).withColumnRenamed(edges, "__edges")
     if _cell_bytes(cells) <= BROADCAST_LIMIT_BYTES:
         cells = F.broadcast(cells)
-    located = points.withColumn("__px", _cell(F.col(x), size)).withColumn("__py", _cell(F.col(y), size))
+    width, height = _sides(size)
+    located = points.withColumns({"__px": _cell(F.col(x), width), "__py": _cell(F.col(y), height)})
     condition = (
         (F.col("__px") == F.col("__cx"))
         & (F.col("__py") == F.col("__cy"))
-        & in_polygon(x, y, "__edges")
+        & (F.col("__whole") | in_polygon(x, y, "__edges"))
     )
-    return located.join(cells, condition, how).drop("__px", "__py", "__cx", "__cy", "__edges")
+    return located.join(cells, condition, how).drop("__px", "__py", "__cx", "__cy", "__edges", "__whole")
 
 
-def points_within(points: DataFrame, polygons: DataFrame, x: str, y: str, size: float,
+def points_within(points: DataFrame, polygons: DataFrame, x: str, y: str, size: CellSize,
                   edges: str = "edges") -> DataFrame:
     """Points inside at least one polygon, each once."""
     return join_polygons(points, polygons, x, y, size, edges, "left_semi")

@@ -74,15 +74,14 @@ def clean_permits(newest: DataFrame, mid: DataFrame, oldest: DataFrame, oldest_o
     before the joins instead of after them.
     """
     def wanted(df: DataFrame) -> DataFrame:
-        return df.where(between_midnights("startdatetime", first, last) & (F.col("eventtype") == event_type))
+        rows = df.where(between_midnights("startdatetime", first, last) & (F.col("eventtype") == event_type))
+        # The joins read each file several times: parse its text once and keep it as columns.
+        return keep(rows)
 
-    recent = natural_full_join(
-        wanted(harmonise_newest(newest)), wanted(mid.withColumnsRenamed(_LISTS))
-    ).drop("parkingheld")
+    recent = natural_full_join(wanted(harmonise_newest(newest)), wanted(mid.withColumnsRenamed(_LISTS)))
     # The first row of an event is chosen among all its rows, hence before the filter.
     early = wanted(harmonise_oldest(oldest, oldest_order))
-    # Each of these is read several times below.
-    combined = natural_full_join(keep(recent), keep(early), right_unique=True)
+    combined = natural_full_join(keep(recent.drop("parkingheld")), early, right_unique=True)
     rows = split_to_rows(combined, "zipcodes").withColumns({
         "zipcode": trim_space("zipcodes"),
         "start_year": F.year("startdatetime"),

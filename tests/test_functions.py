@@ -83,6 +83,14 @@ def test_dates(spark):
     assert one(df, dates.parse_mdy_hms("t")) == [
         dt.datetime(2023, 1, 3, 21, 5), dt.datetime(2023, 1, 31, 21, 5), dt.datetime(2023, 1, 3, 21, 5), None,
     ]
+    # A local time that a daylight-saving zone skips.
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        gap = spark.createDataFrame([("3/12/2023 2:30:00 AM",)], "t string")
+        assert one(gap, dates.parse_mdy_hms("t")) == [dt.datetime(2023, 3, 12, 2, 30)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
     df = spark.createDataFrame([(dt.date(2023, 1, 1),), (dt.date(2023, 12, 31),)], "d date")
     assert one(df, dates.year_week_label("d")) == ["2023-52", "2023-52"]
     assert one(df, dates.week_start("d")) == [dt.date(2022, 12, 26), dt.date(2023, 12, 25)]
