@@ -26,6 +26,16 @@ def text_to_double(value: str | Column) -> Column:
     return F.trim(as_col(value)).try_cast("double")
 
 
+def percent_text(share: str | Column, digits: int = 2) -> Column:
+    """A share as percentage text for a report."""
+    return F.concat(F.format_number(as_col(share) * 100, digits), F.lit("%"))
+
+
+def grouped_text(value: str | Column, digits: int = 0) -> Column:
+    """A number with thousands marks for a report."""
+    return F.format_number(as_col(value), digits)
+
+
 def minutes(hours: str | Column) -> Column:
     return round_even(as_col(hours) * 60)
 

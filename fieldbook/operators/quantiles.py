@@ -2,8 +2,9 @@
 
 Spark's exact ``percentile`` holds all distinct values of a group in one buffer. Here a
 mergeable sketch first brackets every wanted rank, a second pass counts the values below
-and inside each bracket, and only the few values inside are ordered. If a bracket misses
-its rank it is widened to that side, so the sketch decides the speed, never the result.
+and inside each bracket, and a third cuts the few values inside into slices, of which only
+those holding the rank are ordered. If a bracket misses its rank it is widened to that
+side, so the sketch decides the speed, never the result.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from fieldbook.operators.joins import equi_join
 
 SKETCH_ACCURACY = 10_000
 _MARGIN = 2.0 / SKETCH_ACCURACY
+SLICES = 4096
 
 
 def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], name: str) -> DataFrame:
@@ -68,24 +70,41 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         ))
     brackets = counted.select(*by, "n", F.array(*ranges).alias("ranges"))
 
-    # Third pass: only values inside a bracket, copies of a value collapsed to a count.
-    r = F.col("__r")
+    # Third pass: only values inside a bracket, copies of a value collapsed to a count, each
+    # bracket cut into slices by value.
+    r, one = F.col("__r"), F.col("__one")
+    low, high = one["low"], one["high"]
+    position = F.floor((x - low) / (high - low) * SLICES).cast("int")
+    sliced = (low > float("-inf")) & (high < float("inf")) & (low < high)
     inside = (
         _attach(rows, brackets, by, "__r")
         .select(*by, "__x", r["n"].alias("__n"), F.explode(
             F.filter(r["ranges"], lambda one: x.between(one["low"], one["high"]))
         ).alias("__one"))
-        .groupBy(*by, F.col("__one.i").alias("__i"), F.col("__one.skip").alias("__skip"), "__n", "__x")
-        .agg(F.count(F.lit(1)).alias("__copies"))
+        .select(*by, one["i"].alias("__i"), one["skip"].alias("__skip"), "__n", "__x",
+                F.when(sliced, F.least(position, F.lit(SLICES - 1))).otherwise(0).alias("__slice"))
+        .groupBy(*by, "__i", "__skip", "__n", "__slice", "__x").agg(F.count(F.lit(1)).alias("__copies"))
     )
     place = (F.col("__n") - 1) * F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i"))
-    upto = F.col("__skip") + F.sum("__copies").over(Window.partitionBy(*by, "__i").orderBy("__x"))
+    rank, upto = F.floor(place), F.col("__upto")
+
+    # Only the slices that hold a wanted rank are ordered.
+    ends = (
+        inside.groupBy(*by, "__i", "__skip", "__n", "__slice").agg(F.sum("__copies").alias("__size"))
+        .withColumn("__upto", F.col("__skip") + F.sum("__size").over(
+            Window.partitionBy(*by, "__i").orderBy("__slice")
+        ))
+    )
+    start = upto - F.col("__size")
+    holding = ends.where((upto > rank) & (start <= rank + 1)).select(*by, "__i", "__slice", start.alias("__start"))
+    running = F.sum("__copies").over(Window.partitionBy(*by, "__i", "__slice").orderBy("__x"))
     found = (
-        inside.withColumns({"__upto": upto, "__rank": F.floor(place), "__part": place - F.floor(place)})
+        equi_join(inside, holding, [*by, "__i", "__slice"])
+        .withColumns({"__upto": F.col("__start") + running, "__rank": rank, "__part": place - rank})
         .groupBy(*by, "__i")
         .agg(
-            F.min(F.when(F.col("__upto") > F.col("__rank"), x)).alias("__v0"),
-            F.min(F.when(F.col("__upto") > F.col("__rank") + 1, x)).alias("__v1"),
+            F.min(F.when(upto > F.col("__rank"), x)).alias("__v0"),
+            F.min(F.when(upto > F.col("__rank") + 1, x)).alias("__v1"),
             F.max("__part").alias("__part"),
         )
     )

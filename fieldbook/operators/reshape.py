@@ -80,9 +80,7 @@ def bin_label(value: str | Column, ranges: Sequence[tuple[float, float, str]], d
     return chain.otherwise(default)
 
 
-def report(df: DataFrame, n: int, order: Sequence[Column], rounded: dict[str, int] | None = None) -> DataFrame:
-    """First n rows of an ordered table with rounded numbers and report headers."""
-    shown = df.orderBy(*order).limit(n)
-    for column, digits in (rounded or {}).items():
-        shown = shown.withColumn(column, F.bround(column, digits))
-    return format_titles(shown)
+def report(df: DataFrame, n: int, order: Sequence[Column], shown: dict[str, Column] | None = None) -> DataFrame:
+    """First n rows of an ordered table with report headers; ``shown`` replaces columns by
+    rounded numbers or texts."""
+    return format_titles(df.orderBy(*order).limit(n).withColumns(shown or {}))

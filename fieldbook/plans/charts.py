@@ -31,8 +31,8 @@ def clean_global(chart: DataFrame) -> DataFrame:
 
 def preview(chart: DataFrame, order: Sequence[Column], n: int = 20) -> DataFrame:
     """First rows as a report, run time in minutes."""
-    shown = chart.withColumn("runtime_(minutes)", minutes("runtime")).drop("season_title")
-    return report(shown, n, order)
+    rows = chart.withColumn("runtime_(minutes)", minutes("runtime")).drop("season_title")
+    return report(rows, n, order)
 
 
 def countries(chart: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from fieldbook import schemas
 from fieldbook.functions.nulls import if_else, strict_sum
 from fieldbook.functions.numbers import ratio, text_to_double, text_to_int
 from fieldbook.functions.text import prefix, remove_first, remove_first_text, state_code, trim_space
@@ -16,6 +17,8 @@ from fieldbook.operators.reshape import drop_prefixed, ints_where_named
 from fieldbook.operators.sets import bind_same, require_complete
 from fieldbook.operators.stats import with_fitted_line
 from fieldbook.sources.archives import read_zipped_csv
+from fieldbook.sources.delimited import read_year_folders
+from fieldbook.sources.html_tables import html_rows, table_columns
 
 # Two-digit sectors that the published list gives only as ranges.
 RANGE_SECTORS = [
@@ -38,6 +41,11 @@ def measure(long_table: DataFrame, variable: str, name: str | None = None) -> Da
     )
 
 
+def load_measure(spark: SparkSession, root: str, variable: str, years: Iterable[int], name: str | None = None) -> DataFrame:
+    """One measure of the long table stored in year folders; only the wanted years are read."""
+    return measure(read_year_folders(spark, root, schemas.AREA_MEASURE, years), variable, name)
+
+
 def permits(historical: DataFrame, current: DataFrame) -> DataFrame:
     """Fixed-width years and sheet years as one table."""
     return bind_same(historical, current)
@@ -55,6 +63,13 @@ def industry_titles(listing: DataFrame, label: str = "NAICS") -> DataFrame:
     return bind_same(listed, ranges)
 
 
+def industry_listing(pages: DataFrame, page_id: str = "page_id", html: str = "html",
+                     table_id: str = "naics_titles") -> DataFrame:
+    """Code and title columns of the published list, taken from a page by its table id."""
+    rows = html_rows(pages, page_id, html)
+    return table_columns(rows, F.col("table_id") == table_id, [], ["code", "industry_title"])
+
+
 def industry_hierarchy(titles: DataFrame, lengths: tuple[int, int, int] = (2, 3, 4), depth: int = 4) -> DataFrame:
     """Each lowest-level code with the codes and titles of the three levels above it."""
     tree = titles.where(F.col("depth") == depth).withColumnsRenamed({"title": "level4_title", "code": "level4_code"})

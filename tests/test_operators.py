@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fieldbook.functions import numbers
 from fieldbook.functions.geometry import EDGES_TYPE, ring_edges
 from fieldbook.operators import groups, joins, periods, quantiles, ranking, reshape, sets, spatial, stats
 
@@ -211,6 +212,14 @@ def test_long_and_wide(spark):
     assert [r[0] for r in nums.select(label).collect()] == ["low", "mid", "Other", "Other"]
 
 
+def test_report(spark):
+    df = spark.createDataFrame([("a", 0.12345, 1234567.0), ("b", 0.5, 2.0)], "the_name string, share double, total double")
+    shown = {"share": numbers.percent_text("share"), "total": numbers.grouped_text("total")}
+    got = reshape.report(df, 1, [F.desc("total")], shown)
+    assert got.columns == ["The Name", "Share", "Total"]
+    assert rows(got) == [("a", "12.35%", "1,234,567")] or rows(got) == [("a", "12.34%", "1,234,567")]
+
+
 # --- sets ---
 
 

@@ -67,15 +67,12 @@ def test_country_charts(spark):
 
 
 def test_industry_hierarchy_from_page(spark):
-    from fieldbook.sources.html_tables import html_rows, table_columns
-
     listed = {"51": "Information", "518": "Data hosting", "5182": "Data processing", "51821": "Hosting",
               "31-33": "Manufacturing", "311": "Food", "3111": "Animal food", "31111": "Animal food 5", "518210": "six"}
     body = "".join(f"<tr><td>{k}</td><td>NAICS {k} {v}</td></tr>" for k, v in listed.items())
     page = f"<table id='naics_titles'><tr><th>Code</th><th>Industry Title</th></tr>{body}</table>"
     pages = spark.createDataFrame([(1, page)], "page_id int, html string")
-    listing = table_columns(html_rows(pages, "page_id", "html"), F.col("table_id") == "naics_titles", [], ["code", "industry_title"])
-    tree = housing.industry_hierarchy(housing.industry_titles(listing))
+    tree = housing.industry_hierarchy(housing.industry_titles(housing.industry_listing(pages)))
     assert bag(tree) == [
         ("Information", "Data hosting", "Data processing", "Hosting", 51, 518, 5182, 51821),
         ("Manufacturing", "Food", "Animal food", "Animal food 5", 31, 311, 3111, 31111),
@@ -100,6 +97,14 @@ def test_wages_from_archives(spark, tmp_path):
     assert housing.sector_share_peak(wages, "C1018", 52).count() == 2
 
 
+def test_load_measure(spark, tmp_path):
+    rows = [(1, "A", "rent", 5.0, 0.1, 2019), (1, "A", "income", 9.0, 0.1, 2019), (1, "A", "rent", 6.0, 0.1, 2021)]
+    table = spark.createDataFrame(rows, "geoid long, name string, variable string, estimate double, moe double, year int")
+    table.write.partitionBy("year").parquet(str(tmp_path / "t"))
+    got = housing.load_measure(spark, str(tmp_path / "t"), "rent", [2021], "monthly_rent")
+    assert [r.asDict() for r in got.collect()] == [{"geoid": 1, "name": "A", "monthly_rent": 6.0, "year": 2021}]
+
+
 def test_permit_years_bind(spark, tmp_path):
     (tmp_path / "tb3u2018.txt").write_text("x\n" * 11 + "123 10740  area\n" + " " * 47 + "    77\n")
     (tmp_path / "msa_201999.csv").write_text("x\n" * 5 + "CSA,CBSA,Name,Total\n1,10740,A,88\n")
