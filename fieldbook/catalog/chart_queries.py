@@ -88,20 +88,20 @@ def latest_row(t: Tables) -> DataFrame:
 
 
 @query(_global("""
-SELECT CAST(sum(weekly_hours_viewed) AS BIGINT) AS total_hours FROM chart WHERE show_title = 'red widget'"""))
+SELECT coalesce(CAST(sum(weekly_hours_viewed) AS BIGINT), 0) AS total_hours FROM chart WHERE show_title = 'red widget'"""))
 def title_total(t: Tables) -> DataFrame:
     return charts.title_hours(clean(t), "red widget")
 
 
 @query(_global("""
-SELECT CAST(sum(weekly_hours_viewed) AS BIGINT) AS total_hours FROM chart
+SELECT coalesce(CAST(sum(weekly_hours_viewed) AS BIGINT), 0) AS total_hours FROM chart
 WHERE regexp_matches(show_title, '^(red|hot) .*r$')"""))
 def regex_total(t: Tables) -> DataFrame:
     return charts.title_hours_matching(clean(t), "^(red|hot) .*r$")
 
 
 @query(_global("""
-SELECT round(sum(weekly_hours_viewed / (CAST(118 AS DOUBLE) / 60)), 3) AS total_views FROM chart
+SELECT round(coalesce(sum(weekly_hours_viewed / (CAST(118 AS DOUBLE) / 60)), 0), 3) AS total_views FROM chart
 WHERE show_title = 'small ring' AND year(week) = 1998"""))
 def ratio_in_year(t: Tables) -> DataFrame:
     return rounded(charts.views_in_year(clean(t), "small ring", 1998), 3, "total_views")

@@ -30,8 +30,8 @@ def _whole(value: Column, aggregate: Column) -> Column:
 
 
 def strict_sum(value: str | Column) -> Column:
-    """Sum that is NULL as soon as one input is NULL."""
-    return _whole(as_col(value), F.sum(as_col(value)))
+    """Sum that is NULL as soon as one input is NULL; 0 over no rows."""
+    return _whole(as_col(value), sum_or_zero(value))
 
 
 def strict_max(value: str | Column) -> Column:

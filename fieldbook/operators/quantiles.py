@@ -10,6 +10,7 @@ side, so the sketch decides the speed, never the result.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -76,8 +77,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     low, high = one["low"], one["high"]
     position = F.floor((x - low) / (high - low) * SLICES).cast("int")
     sliced = (low > float("-inf")) & (high < float("inf")) & (low < high)
+    in_any = reduce(Column.__or__, [
+        x.between(r["ranges"][i]["low"], r["ranges"][i]["high"]) for i in range(len(probs))
+    ])
     inside = (
-        _attach(rows, brackets, by, "__r")
+        _attach(rows, brackets, by, "__r").where(in_any)
         .select(*by, "__x", r["n"].alias("__n"), F.explode(
             F.filter(r["ranges"], lambda one: x.between(one["low"], one["high"]))
         ).alias("__one"))

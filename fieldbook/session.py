@@ -47,10 +47,17 @@ def local_session(cpus: int | str = "*", name: str = "fieldbook") -> SparkSessio
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        shared = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="fieldbook-")
-    spark.sparkContext.setCheckpointDir(shared)
-    return shared
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``.
+
+    Where none is named, the checkpoint folder of the context, or in local mode a private one.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="fieldbook-"))
+    return context.getCheckpointDir()

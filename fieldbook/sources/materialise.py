@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldbook.session import ensure_checkpoint_dir
+from fieldbook.session import shared_folder
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -33,6 +33,6 @@ def keep(df: DataFrame) -> DataFrame:
     Cuts the lineage of a costly frame that is used several times: a lost executor then
     rereads files instead of repeating joins, and later plans see real sizes and columns.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldbook import schemas
-from fieldbook.session import ensure_checkpoint_dir
+from fieldbook.session import shared_folder
 from fieldbook.sources import archives, delimited, fixed_width, geojson, html_tables, materialise
 
 
@@ -44,6 +44,9 @@ def test_year_slices_from_names_and_folders(spark, tmp_path):
     assert set(bag(delimited.with_slice_year(df))) == {(9, 2009), (10, 2010)}
     root = str(tmp_path / "table")
     delimited.write_parquet(spark.range(2019, 2023).select("id", F.col("id").cast("int").alias("year")), root, ["year"])
+    plain = str(tmp_path / "plain")
+    delimited.write_parquet(spark.range(2), plain)
+    assert spark.read.parquet(plain).count() == 2
     got = delimited.read_year_folders(spark, root, "id long", [2019, 2021])
     assert bag(got) == [(2019, 2019), (2021, 2021)]
     assert "PartitionFilters: [year" in got._jdf.queryExecution().executedPlan().toString()
@@ -75,7 +78,7 @@ def test_read_through_builds_once(spark, tmp_path):
 
 
 def test_keep_uses_the_checkpoint_folder(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(materialise, "ensure_checkpoint_dir", lambda _: str(tmp_path))
+    monkeypatch.setattr(materialise, "shared_folder", lambda _: str(tmp_path))
     kept = materialise.keep(spark.range(5).withColumn("x", F.col("id") * 2))
     assert kept.where("x = 8").count() == 1
     assert len(list(tmp_path.glob("kept-*"))) == 1
@@ -83,21 +86,23 @@ def test_keep_uses_the_checkpoint_folder(spark, tmp_path, monkeypatch):
 
 def test_checkpoint_folder_of_the_cluster_wins():
     class Stub:
-        def __init__(self, named):
-            self.named, self.conf, self.sparkContext, self.used = named, self, self, None
+        def __init__(self, named, master):
+            self.named, self.master, self.conf, self.sparkContext, self.used = named, master, self, self, None
 
         def get(self, key, default):
             return self.named if key == "spark.checkpoint.dir" else default
 
         def getCheckpointDir(self):
-            return None
+            return self.used
 
         def setCheckpointDir(self, path):
             self.used = path
 
-    named, unnamed = Stub("hdfs:///shared"), Stub(None)
-    assert ensure_checkpoint_dir(named) == "hdfs:///shared" == named.used
-    assert ensure_checkpoint_dir(unnamed) == unnamed.used != ""
+    assert shared_folder(Stub("hdfs:///shared", "yarn")) == "hdfs:///shared"
+    local = Stub(None, "local[8]")
+    assert shared_folder(local) == local.used == shared_folder(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Stub(None, "yarn"))
 
 
 def listing(codes, counts):
