@@ -10,7 +10,6 @@ side, so the sketch decides the speed, never the result.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -49,27 +48,30 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     # Second pass: values below and up to the ends of each bracket. The sketch values ride
     # along as plain maxima, so the aggregate keeps fixed-width buffers.
     s = F.col("__s")
-    counts = [F.max(s["n"]).alias("n")]
-    for i in range(len(probs)):
-        low, high = s["edges"][2 * i], s["edges"][2 * i + 1]
-        counts += [
-            F.max(low).alias(f"low{i}"), F.count_if(x < low).alias(f"below{i}"),
-            F.max(high).alias(f"high{i}"), F.count_if(x <= high).alias(f"upto{i}"),
-        ]
-    counted = _attach(rows, sketch, by, "__s").groupBy(*by).agg(*counts)
-
-    ranges = []
-    for i, p in enumerate(probs):
-        rank = F.floor((F.col("n") - 1) * F.lit(float(p)))
-        below, upto = F.col(f"below{i}"), F.col(f"upto{i}")
+    lows = [s["edges"][2 * i] for i in range(len(probs))]
+    highs = [s["edges"][2 * i + 1] for i in range(len(probs))]
+    counted = _attach(rows, sketch, by, "__s").groupBy(*by).agg(
+        F.max(s["n"]).alias("n"),
+        F.array(*[F.max(low) for low in lows]).alias("low"),
+        F.array(*[F.max(high) for high in highs]).alias("high"),
+        F.array(*[F.count_if(x < low) for low in lows]).alias("below"),
+        F.array(*[F.count_if(x <= high) for high in highs]).alias("upto"),
+    )
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+
+    def bracket(i: Column) -> Column:
+        rank = F.floor((F.col("n") - 1) * F.get(wanted, i))
+        below, upto = F.get("below", i), F.get("upto", i)
         low_fits, high_fits = below <= rank, (upto >= rank + 2) | (upto == F.col("n"))
-        ranges.append(F.struct(
-            F.lit(i).alias("i"),
+        return F.struct(
+            i.alias("i"),
             F.when(low_fits, below).otherwise(0).alias("skip"),
-            F.when(low_fits, F.col(f"low{i}")).otherwise(F.lit(float("-inf"))).alias("low"),
-            F.when(high_fits, F.col(f"high{i}")).otherwise(F.lit(float("inf"))).alias("high"),
-        ))
-    brackets = counted.select(*by, "n", F.array(*ranges).alias("ranges"))
+            F.when(low_fits, F.get("low", i)).otherwise(F.lit(float("-inf"))).alias("low"),
+            F.when(high_fits, F.get("high", i)).otherwise(F.lit(float("inf"))).alias("high"),
+        )
+
+    every = F.array(*[F.lit(i) for i in range(len(probs))])
+    brackets = counted.select(*by, "n", F.transform(every, bracket).alias("ranges"))
 
     # Third pass: only values inside a bracket, copies of a value collapsed to a count, each
     # bracket cut into slices by value.
@@ -77,11 +79,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     low, high = one["low"], one["high"]
     position = F.floor((x - low) / (high - low) * SLICES).cast("int")
     sliced = (low > float("-inf")) & (high < float("inf")) & (low < high)
-    in_any = reduce(Column.__or__, [
-        x.between(r["ranges"][i]["low"], r["ranges"][i]["high"]) for i in range(len(probs))
-    ])
     inside = (
-        _attach(rows, brackets, by, "__r").where(in_any)
+        _attach(rows, brackets, by, "__r")
         .select(*by, "__x", r["n"].alias("__n"), F.explode(
             F.filter(r["ranges"], lambda one: x.between(one["low"], one["high"]))
         ).alias("__one"))
@@ -89,7 +88,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
                 F.when(sliced, F.least(position, F.lit(SLICES - 1))).otherwise(0).alias("__slice"))
         .groupBy(*by, "__i", "__skip", "__n", "__slice", "__x").agg(F.count(F.lit(1)).alias("__copies"))
     )
-    place = (F.col("__n") - 1) * F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i"))
+    place = (F.col("__n") - 1) * F.get(wanted, F.col("__i"))
     rank, upto = F.floor(place), F.col("__upto")
 
     # Only the slices that hold a wanted rank are ordered.
