@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldbook.llm import mixing, sharding
+from fieldbook.llm import contamination, language, lines, mixing, sharding
 from fieldbook.llm.tables import table
 
 
+def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identified(docs.select("doc_id", "text", "lang"))
+    return found.select(
+        "row.doc_id", language.held_out(F.col("row.doc_id")).alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score",
+        F.size("found.spans").alias("n_spans"),
+    )
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words every document adds to the mix of sources."""
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
@@ -28,7 +38,28 @@ def op3_shard_by_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_shard_by_splitters)}
+def op6_drop_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier document has too."""
+    done = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.col("kept.text").cast("binary"), 256)
+    return done.select("row.doc_id", "kept.n_lines", "kept.n_dropped", kept.alias("kept_sha256"))
+
+
+def op7_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of benchmark texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.scanned(docs, table(spark, sf_dir, "benchmark"))
+    names = F.sort_array(F.transform("report.items", lambda item: item.cast("string")))
+    return found.select(
+        "row.doc_id", "report.n_words", "report.n_hit", F.size("report.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        contamination.contaminated(F.col("report.n_hit"), F.col("report.n_words")).alias("contaminated"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_spans, op2_mix_sources, op3_shard_by_splitters, op6_drop_repeated_lines, op7_benchmark_windows,
+)}
 
 SQL: dict[str, str] = {
     "op2_mix_sources": """
@@ -63,5 +94,50 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, CAST(floor(rate) AS BIGINT) + CAST(coin < rate - floor(rate) AS BIGINT) AS copies,
        size * (CAST(floor(rate) AS BIGINT) + CAST(coin < rate - floor(rate) AS BIGINT)) AS taken
 FROM rated
+""",
+    "op6_drop_repeated_lines": """
+WITH lines AS (
+  SELECT row_id, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos
+  FROM (SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), repeated AS (
+  SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2
+), marked AS (
+  SELECT row_id, doc_id, line, pos, first IS NOT NULL AND first <> doc_id AS gone FROM keyed LEFT JOIN repeated USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY row_id, doc_id
+""",
+    "op7_benchmark_windows": """
+WITH words AS (
+  SELECT doc_id, w, row_number() OVER () AS row_id
+  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents)
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT item_id, len(w) AS size, array_to_string(w, ' ') AS gram FROM items WHERE len(w) BETWEEN 1 AND 12
+  UNION ALL
+  SELECT item_id, 13, array_to_string(w[pos:pos + 12], ' ') FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS pos FROM items WHERE len(w) >= 13)
+), sizes AS (SELECT DISTINCT size FROM windows
+), grams AS (
+  SELECT row_id, pos, size, array_to_string(w[pos:pos + size - 1], ' ') AS gram
+  FROM (SELECT row_id, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM words, sizes WHERE len(w) >= size)
+), hits AS (SELECT DISTINCT row_id, pos, g.size, item_id FROM grams g JOIN windows USING (size, gram)
+), places AS (
+  SELECT row_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT row_id, unnest(range(pos, pos + size)) AS place FROM (SELECT DISTINCT row_id, pos, size FROM hits)) GROUP BY row_id
+), held AS (
+  SELECT row_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT row_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY row_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN places USING (row_id) LEFT JOIN held USING (row_id)
 """,
 }

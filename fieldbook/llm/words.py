@@ -120,13 +120,12 @@ class Splitter:
         return Words(data, start, np.concatenate(ends), np.concatenate(keys), np.searchsorted(start, bounds))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
-    """Pieces of a batch of about ``most`` bytes of text each, and never less than a row."""
-    if not batch.num_rows:
-        return
-    _, bounds = buffer_of(batch.column(column))
-    at = 0
-    while at < batch.num_rows:
+def pieces(texts: pa.Array, most: int = 4 << 20) -> list[tuple[int, int]]:
+    """Start and length of runs of texts of about ``most`` bytes each, and never less than one text."""
+    _, bounds = buffer_of(texts)
+    found, at = [], 0
+    while at < len(texts):
         to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, "right")) - 1)
-        yield batch.slice(at, to - at)
-        at = to
+        found.append((at, min(to, len(texts)) - at))
+        at += found[-1][1]
+    return found
