@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldbook.llm import contamination, jaccard, language, lines, mixing, sharding
+from fieldbook.llm import contamination, jaccard, language, lines, lm, mixing, sharding
 from fieldbook.llm.tables import table
 
 
@@ -57,6 +57,11 @@ def op7_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_hashed_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of every document under add-one counts and under the hashed model."""
+    return lm.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_shingle_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with three quarters of their shingles in common."""
     found = jaccard.grouped(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -65,7 +70,7 @@ def op9_shingle_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_spans, op2_mix_sources, op3_shard_by_splitters, op6_drop_repeated_lines, op7_benchmark_windows,
-    op9_shingle_components,
+    op8_hashed_maxent, op9_shingle_components,
 )}
 
 SQL: dict[str, str] = {
