@@ -203,9 +203,9 @@ def _step(model: Model, weights: np.ndarray, rows: np.ndarray, leaf: np.ndarray)
     return [(rows, z, of), (inner, y, member)], z[at, of] + y[at, member]
 
 
-def descend(model: Model, parts: Iterator[pa.Array], offset: int, stride: int, rate: float, batch: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+def descend(model: Model, parts: Iterator[pa.Array], offset: int, stride: int, rate: float, batch: int = 1024, first_square: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
     """Weights after AdaGrad steps over a task's texts, less those before; how often each row was met."""
-    weights, squares = model.weights.copy(), np.full(ROWS, 1e-2, np.float32)
+    weights, squares = model.weights.copy(), np.full(ROWS, first_square, np.float32)
     met = np.zeros(ROWS, np.int64)
     for texts in parts:
         for a, n in pieces(texts):
