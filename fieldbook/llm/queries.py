@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldbook.llm import contamination, jaccard, language, lines, lm, mixing, sharding
+from fieldbook.llm import contamination, jaccard, language, lines, lm, mixing, sharding, vafile
 from fieldbook.llm.tables import table
 
 
@@ -68,9 +68,14 @@ def op9_shingle_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op10_vector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of largest inner product with every twentieth vector."""
+    return vafile.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_spans, op2_mix_sources, op3_shard_by_splitters, op6_drop_repeated_lines, op7_benchmark_windows,
-    op8_hashed_maxent, op9_shingle_components,
+    op8_hashed_maxent, op9_shingle_components, op10_vector_cells,
 )}
 
 SQL: dict[str, str] = {
@@ -151,5 +156,20 @@ WITH words AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM words LEFT JOIN places USING (row_id) LEFT JOIN held USING (row_id)
+""",
+    "op10_vector_cells": """
+WITH rows AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM rows q JOIN rows c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """,
 }
