@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from fieldbook.llm import mixing, sharding
+from fieldbook.llm import contamination, jaccard, language, mixing, sharding
 from fieldbook.llm.tables import Scratch, table
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that can be told."""
+    return language.recognised(docs)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard.one_of_each(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark texts do not contaminate."""
+    return contamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mix(docs)
@@ -17,10 +32,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard and their slot in it."""
-    return sharding.by_text(docs).select("row.*", F.col("shard").alias("shard"), F.col("slot").alias("slot"))
+    return sharding.by_text(docs).select("row.*", "shard", "slot")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("known_language", known_language),
+    ("one_of_near_copies", one_of_near_copies),
+    ("without_benchmark", without_benchmark),
     ("mix_sources", mix_sources),
     ("write_shards", write_shards),
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldbook.llm import contamination, jaccard, language, lines, lm, mixing, sharding, vafile
+from fieldbook.llm import contamination, jaccard, language, lines, linkgraph, lm, mixing, sharding, vafile, warc
 from fieldbook.llm.tables import table
 
 
@@ -38,6 +38,16 @@ def op3_shard_by_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_zip_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in ZIP packages, read back by ranges."""
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op5_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page urls judged by rules, else by what trust and distrust their hosts get over links."""
+    return linkgraph.judged(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op6_drop_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document has too."""
     done = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -74,7 +84,7 @@ def op10_vector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_spans, op2_mix_sources, op3_shard_by_splitters, op6_drop_repeated_lines, op7_benchmark_windows,
+    op1_language_spans, op2_mix_sources, op3_shard_by_splitters, op4_zip_packages, op5_link_graph, op6_drop_repeated_lines, op7_benchmark_windows,
     op8_hashed_maxent, op9_shingle_components, op10_vector_cells,
 )}
 
@@ -171,5 +181,16 @@ WITH rows AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    "op4_zip_packages": """
+WITH rows AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS digest FROM pages
+), groups AS (
+  SELECT digest, max(page_id) AS first FROM rows WHERE size >= 1000 GROUP BY digest
+)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM rows LEFT JOIN groups USING (digest)
 """,
 }
