@@ -31,8 +31,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and their slot in it."""
-    return sharding.by_text(docs).select("row.*", "shard", "slot")
+    """Documents with their shard and their slot in it, which replace columns of these names."""
+    kept = [f"row.`{c}`" for c in docs.columns if c.lower() not in ("shard", "slot")]
+    return sharding.by_text(docs).select(*kept, "shard", "slot")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

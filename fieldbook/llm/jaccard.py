@@ -168,10 +168,17 @@ def profiles(docs: DataFrame, buckets: int) -> DataFrame:
     return found.groupBy("chunk").applyInArrow(gather, "doc_id bigint, key bigint, n bigint, digest binary, shared bigint")
 
 
+ORDERED = (
+    "node bigint, n bigint, common bigint, hashes array<bigint>, tokens array<bigint>, places array<bigint>, scan bigint, weight bigint"
+)
+
+
 def _ordered(sets: DataFrame, buckets: int) -> DataFrame:
-    """Per node: n, its hashes from rare to frequent, those of its prefix that others have, entries of their lists.
+    """Per node: n, how many hashes others have, its hashes from rare to frequent, its list entries, and sums.
 
-    Nodes that cannot have a partner are left out.
+    An entry is a hash of the rarest quarter that others have, with its place in the order. ``scan`` adds
+    up the lists' lengths, ``weight`` the occurrences of all hashes. Nodes that cannot have a partner
+    are left out.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
@@ -189,24 +196,27 @@ def _ordered(sets: DataFrame, buckets: int) -> DataFrame:
         order = np.lexsort((keys, times, of))
         of, keys, times = of[order], keys[order].view(np.int64), times[order]
         edges = np.searchsorted(of, np.arange(len(nodes) + 1))
-        out = {"node": [], "n": [], "hashes": [], "prefix": [], "entries": []}
+        out = {"node": [], "n": [], "common": [], "hashes": [], "tokens": [], "places": [], "scan": [], "weight": []}
         for k, (a, z) in enumerate(zip(edges[:-1], edges[1:])):
-            n, common = int(z - a), times[a:z] > 1
-            if 4 * int(common.sum()) < 3 * n:
+            n, common = int(z - a), int((times[a:z] > 1).sum())
+            if 4 * common < 3 * n:
                 continue
             first = slice(a, a + n - (3 * n + 3) // 4 + 1)
             listed = times[first] > 1
             out["node"].append(int(nodes[k]))
             out["n"].append(n)
+            out["common"].append(common)
             out["hashes"].append(keys[a:z])
-            out["prefix"].append(keys[first][listed])
-            out["entries"].append(int(times[first][listed].sum()))
-        kinds = {"node": pa.int64(), "n": pa.int64(), "hashes": pa.list_(pa.int64()), "prefix": pa.list_(pa.int64()), "entries": pa.int64()}
+            out["tokens"].append(keys[first][listed])
+            out["places"].append(np.flatnonzero(listed))
+            out["scan"].append(int(times[first][listed].sum()))
+            out["weight"].append(int(times[a:z].astype(np.int64).sum()))
+        kinds = {c: pa.list_(pa.int64()) if c in ("hashes", "tokens", "places") else pa.int64() for c in out}
         return pa.table({c: pa.array(v, kinds[c]) for c, v in out.items()})
 
     packed = sets.mapInArrow(pack, PACKED)
     counted = packed.groupBy("bucket").applyInArrow(_counted, "chunk bigint, keys binary, counts binary, times binary, info binary")
-    return counted.groupBy("chunk").applyInArrow(gather, "node bigint, n bigint, hashes array<bigint>, prefix array<bigint>, entries bigint")
+    return counted.groupBy("chunk").applyInArrow(gather, ORDERED)
 
 
 def needed(a: int, b: int) -> int:
@@ -266,55 +276,54 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _may_link(most: int) -> Column:
-    """Sizes within 3/4 of each other, not both light, and not known to be connected."""
-    return (
-        (4 * F.least("a.n", "b.n") >= 3 * F.greatest("a.n", "b.n")) & (F.greatest("a.n", "b.n") > most)
-        & (F.col("a.component") != F.col("b.component"))
-    )
+    """Whether two entries of a list can be of linked nodes, by what is known without their sets.
+
+    Not both light, not known to be connected, and with room for what they need in common: among the hashes
+    that others have, and from this entry's place on. The first hash that two nodes share has nothing
+    in common before it, so no link is lost.
+    """
+    seven = 3 * (F.col("a.n") + F.col("b.n"))
+    room = [F.least("a.common", "b.common"), F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"), F.least("a.n", "b.n")]
+    return (F.greatest("a.n", "b.n") > most) & (F.col("a.component") != F.col("b.component")) & (7 * F.least(*room) >= seven)
 
 
 def _pairs() -> list[Column]:
     return [F.least("a.node", "b.node").alias("low"), F.greatest("a.node", "b.node").alias("high")]
 
 
-def node_components(scratch: Scratch, sets: DataFrame, most: int, hub_rounds: int = 2) -> DataFrame:
+def node_components(scratch: Scratch, sets: DataFrame, most: int) -> DataFrame:
     """``node`` and ``component`` of all nodes with a link.
 
-    Lists hold the prefixes. In a hub round every list proposes its members of other components to one
-    hub, which joins large groups of near copies at the cost of one check a member. What is left is
-    exact: in every list with more than one component, the members outside the commonest one meet
-    all members of other components. So a list costs its length times its outsiders, not its square.
+    Lists hold the prefixes. First every list proposes its members to one hub, the one of the commonest
+    hashes, which joins large groups of near copies at the cost of one check a member. What is left is exact: in every list with more
+    than one component, the members outside the commonest one meet all members of other components.
+    So a list costs its length times its outsiders, not its square.
     """
-    links = scratch.put(light_links(sets, most), "light")
     entries = scratch.put(
-        sets.where(4 * F.col("n") >= 3 * (most + 1)).select(F.explode("prefix").alias("token"), "node", "n"), "entries"
+        sets.where(4 * F.col("n") >= 3 * (most + 1))
+        .select(F.explode(F.arrays_zip("tokens", "places")).alias("e"), "node", "n", "common", "weight")
+        .select(F.col("e.tokens").alias("token"), F.col("e.places").alias("place"), "node", "n", "common", "weight"), "entries"
     )
-    stars = components(scratch, links)
-    tested = None
-
-    def lists() -> DataFrame:
-        known = entries.join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = known.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("largest"))
-        return scratch.put(known.join(split.where("least < largest").select("token"), "token"), "lists")
-
-    def check(pairs: DataFrame) -> None:
-        nonlocal links, stars, tested
-        pairs = scratch.put(pairs.distinct() if tested is None else pairs.distinct().join(tested, ["low", "high"], "left_anti"), "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = links.union(scratch.put(_verified(pairs, sets), "links"))
-        stars = scratch.put(components(scratch, links), "stars")
-
-    for turn in range(hub_rounds):
-        now = lists()
-        hubs = now.groupBy("token").agg(F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", F.lit(turn))).alias("hub"))
-        hubs = hubs.select("token", "hub.*")
-        check(now.alias("a").join(hubs.alias("b"), "token").where(_may_link(most)).select(*_pairs()))
-    now = lists()
-    shares = now.groupBy("token", "component").count()
-    main = shares.groupBy("token").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    outside = scratch.put(now.join(main, "token").where("component <> main").drop("main"), "outside")
-    check(outside.alias("a").join(now.alias("b"), "token").where(_may_link(most)).select(*_pairs()))
-    return stars
+    listed = scratch.put(entries.join(entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "token"), "listed")
+    hub = F.max_by(F.struct("node", "n", "common", "place"), F.struct("weight", "node")).alias("hub")
+    hubs = listed.groupBy("token").agg(hub).select("token", "hub.*")
+    alone = lambda df: df.withColumn("component", F.col("node"))
+    met = alone(listed).alias("a").join(alone(hubs).alias("b"), "token").where(_may_link(most)).select(*_pairs())
+    tested = scratch.put(met.distinct(), "tested")
+    links = scratch.put(_verified(tested, sets).union(light_links(sets, most)), "links")
+    stars = scratch.put(components(links), "stars")
+
+    known = listed.join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    shares = known.groupBy("token", "component").agg(F.count("*").alias("members"))
+    main = shares.groupBy("token").agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("components"))
+    open_lists = scratch.put(known.join(main.where("components > 1"), "token"), "open")
+    outside = open_lists.where("component <> main")
+    met = outside.alias("a").join(open_lists.alias("b"), "token").where(_may_link(most)).select(*_pairs())
+    rest = scratch.put(met.distinct().join(tested, ["low", "high"], "left_anti"), "rest")
+    more = scratch.put(_verified(rest, sets), "more")
+    if more.limit(1).count() == 0:
+        return stars
+    return scratch.put(components(more.union(stars.select(F.col("component").alias("low"), F.col("node").alias("high")))), "joined")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -347,8 +356,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     sets = some.select("node", "digest", "text").mapInArrow(hashed, "node bigint, hashes binary").dropDuplicates(["node"])
     sets = scratch.put(sets, "raw")
     sets = scratch.put(_ordered(sets, buckets), "sets")
-    scratch.drop("raw")
-    sizes = sets.where(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count("*"), F.sum("entries")).collect()
+    sizes = sets.where(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count("*"), F.sum("scan")).collect()
     most = boundary({r[0]: (r[1], r[2]) for r in sizes})
     joined = node_components(scratch, sets, most)
     members = scratch.put(joined.join(near, "node").select("digest", "component", "first_id"), "members")
@@ -358,6 +366,7 @@ def grouped(docs: DataFrame) -> DataFrame:
         "digest", F.coalesce(F.col("component").cast("string"), F.hex("digest")).alias("class"), F.coalesce("smallest", "first_id").alias("component_id")
     )
     ids = scratch.put(ids, "ids")
+    scratch.keep_only("profiles", "ids")
     linked = rows.where("n > 0").join(ids, "digest").select("doc_id", "key", F.col("n").alias("n_shingles"), "class", "component_id")
     alone = rows.where("n = 0").select("doc_id", "key", F.col("n").alias("n_shingles"), F.lit(None).cast("string"), "doc_id")
     return linked.union(alone)

@@ -54,7 +54,7 @@ def spread(scratch: Scratch, links: DataFrame, seeds: DataFrame, rounds: int = 4
 
     ``seeds`` has ``host`` and ``kind``, trust or distrust. A host hands on ``FOLLOW`` of its score by the
     number of links: trust to those it links to, distrust to those that link to it. Rounds end when
-    less than ``still`` of a kind's units moves. Every round is written; the one before is deleted.
+    less than ``still`` of a kind's units moves. Every round is written.
     """
     out = links.groupBy("source").agg(F.sum("n").alias("all"))
     into = links.groupBy("target").agg(F.sum("n").alias("all"))
@@ -68,14 +68,11 @@ def spread(scratch: Scratch, links: DataFrame, seeds: DataFrame, rounds: int = 4
     for _ in range(rounds):
         moved = state.join(arcs, ["kind", "host"]).select("kind", F.col("to").alias("host"), F.floor(F.col("score") * F.col("share") * FOLLOW).alias("score"))
         following = base.union(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        old, before = scratch.paths.pop("state"), state
-        state = scratch.put(following, "state")
+        before, state = state, scratch.put(following, "state")
         change = (
             state.select("kind", "host", "score").union(before.select("kind", "host", -F.col("score")))
             .groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("change")).agg(F.sum("change")).first()[0]
         )
-        scratch.paths["before"] = old
-        scratch.drop("before")
         if (change or 0) <= still * UNITS:
             break
     share = lambda kind: (F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0)) / UNITS).alias(kind)
@@ -102,6 +99,7 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, rati
     kind = F.when(2 * F.col("allowed") > F.col("pages"), F.lit("trust")).when(2 * F.col("blocked") > F.col("pages"), F.lit("distrust"))
     seeds = hosts.select("host", kind.alias("kind")).where("kind is not null")
     scores = scratch.put(spread(scratch, links, seeds), "scores")
+    scratch.keep_only("ruled", "scores")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     by_graph = F.when((distrust > 0) & (distrust >= ratio * trust), F.lit("block")).otherwise(F.lit("allow"))
     return ruled.join(scores, "host", "left").select(

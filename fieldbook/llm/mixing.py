@@ -82,6 +82,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     scratch = Scratch(docs.sparkSession, "mix")
     sized = docs.select("source", word_count(F.col("text")).alias("size"))
     goals = scratch.put(targets(scratch, sized, weights, share, most), "targets")
+    scratch.keep_only("targets")
     rows = docs.select(F.struct("*").alias("row"), "source", coin(F.col("doc_id"), F.col("text")).alias("coin"))
     taken = mixed(rows, goals).where("copies > 0")
     return taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")
@@ -95,6 +96,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float =
         "sized",
     )
     goals = scratch.put(targets(scratch, sized, weights, share, most), "targets")
+    scratch.keep_only("sized", "targets")
     return mixed(sized, goals).select(
         "doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )

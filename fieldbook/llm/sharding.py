@@ -91,6 +91,7 @@ def shard(
     placed = scratch.put(
         placed.select("range", "shard", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start")).coalesce(1), "placed"
     )
+    scratch.keep_only("rows", "placed")
     within = F.row_number().over(Window.partitionBy("range").orderBy("key")) - 1
     ranged = rows.withColumn("range", range_of(F.col("key"), bounds)).withColumn("within", within)
     return ranged.join(placed, "range").select("row", "size", "shard", (F.col("start") + F.col("within")).alias("slot"))

@@ -13,25 +13,30 @@ class Scratch:
     """Tables of one run of an operator under ``spark.checkpoint.dir``.
 
     A written table cuts the lineage: after a lost executor Spark rereads files, and plans see real
-    sizes. A table that replaces another of its name leaves the old one for readers that still hold it;
-    ``drop`` deletes tables that nothing reads any more.
+    sizes. ``keep_only`` deletes the tables that nothing reads any more; those that the lazy result of an
+    operator reads stay in the folder until its owner clears it.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self.paths: dict[str, str] = {}
+        self.old: list[str] = []
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
+        if name in self.paths:
+            self.old.append(self.paths[name])
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *names: str) -> None:
-        for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+    def keep_only(self, *names: str) -> None:
+        """Deletes all tables but the last of each of these names."""
+        gone = self.old + [path for name, path in self.paths.items() if name not in names]
+        for path in map(self.spark._jvm.org.apache.hadoop.fs.Path, gone):
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths, self.old = {name: self.paths[name] for name in names if name in self.paths}, []
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

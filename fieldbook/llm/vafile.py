@@ -184,6 +184,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE)
         return left.join(right.hint("merge"), "meeting")
 
     scan = ("ids", "low", "width", "cells")
+    scratch.keep_only("file", "asked", "plan")
     limits = scratch.put(_thresholds(meetings(*scan), k), "limits")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
