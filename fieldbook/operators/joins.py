@@ -63,7 +63,8 @@ def natural_full_join(left: DataFrame, right: DataFrame, right_unique: bool = Fa
     Written as matched rows plus the unmatched rows of each side: Spark can split a hot key
     in inner and anti joins but not in a full outer join. The anti joins look up distinct
     keys, so copies of a key collapse before the shuffle. If the right side is known to hold
-    each key once, only the left side can be hot and one left join replaces two of the parts.
+    each key once or rarely more, only the left side can be hot and one left join replaces two
+    of the parts.
     """
     shared = [c for c in left.columns if c in right.columns]
     if not shared:

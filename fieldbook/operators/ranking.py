@@ -37,6 +37,18 @@ def top_n(df: DataFrame, by: str, n: int = 1, ascending: bool = False) -> DataFr
     return df.where(_reaches(by, cut.scalar(), ascending))
 
 
+def top_n_ranked(df: DataFrame, by: str, n: int = 1) -> DataFrame:
+    """As ``top_n``, from a single evaluation of ``df``; for aggregates, of which few rows tie.
+
+    A sum of doubles may differ in its last bits when evaluated again, so a cut found in a second
+    evaluation could miss the very row it came from. Here each task keeps its own rows of rank n or
+    better, and only these meet.
+    """
+    order = Window.orderBy(F.desc_nulls_last(by))
+    # Missing values rank after all others, so they stay only where fewer than n others are.
+    return df.withColumn("__rank", F.rank().over(order)).where(F.col("__rank") <= n).drop("__rank")
+
+
 def bottom_n(df: DataFrame, by: str, n: int = 1) -> DataFrame:
     """Rows with the n smallest values, ties kept."""
     return top_n(df, by, n, ascending=True)

@@ -17,7 +17,6 @@ from fieldbook.operators.ranking import bottom_n
 
 # One side length of a cell, or its width and height.
 CellSize = float | tuple[float, float]
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def _sides(size: CellSize) -> tuple[float, float]:
@@ -34,28 +33,34 @@ def polygon_cells(polygons: DataFrame, size: CellSize, edges: str = "edges") ->
 
     Cells without an edge are wholly inside (``__whole``, no edges kept) or outside (left out).
     The others keep the edges that a point in the cell can need.
+
+    A ray to the right can meet only edges of its own height that end right of the cell's left side. So
+    each edge is sent to the cells of its rows, from the polygon's left end to the edge's right
+    end, and the edges of a cell meet there: the work is spread by edge and by cell, and no task
+    holds a polygon's whole grid. Every cell inside has an edge to its right, so none is missed.
     """
     es = F.col(edges)
     width, height = _sides(size)
-
-    def span(low: str, high: str, side: float) -> Column:
-        values = F.flatten(F.array(F.transform(es, lambda e: e[low]), F.transform(es, lambda e: e[high])))
-        return F.sequence(_cell(F.array_min(values), side), _cell(F.array_max(values), side))
-
+    # A little slack absorbs rounding in the division that assigns cells.
+    slack_x, slack_y = width * 1e-6, height * 1e-6
+    least_x = F.array_min(F.transform(es, lambda e: F.least(e["x1"], e["x2"])))
+    others = [c for c in polygons.columns if c != edges]
+    sent = (
+        polygons.select(
+            F.monotonically_increasing_id().alias("__polygon"), F.struct(F.lit(0).alias("__zero"), *others).alias("__others"),
+            _cell(least_x - slack_x, width).alias("__first"), F.explode(es).alias("__edge"),
+        )
+        .withColumn("__cy", F.explode(F.sequence(
+            _cell(F.least("__edge.y1", "__edge.y2") - slack_y, height), _cell(F.greatest("__edge.y1", "__edge.y2") + slack_y, height)
+        )))
+        .withColumn("__cx", F.explode(F.sequence("__first", _cell(F.greatest("__edge.x1", "__edge.x2") + slack_x, width))))
+    )
     cells = (
-        polygons.withColumn("__cx", F.explode(span("x1", "x2", width)))
-        .withColumn("__cy", F.explode(span("y1", "y2", height)))
+        sent.groupBy("__polygon", "__cx", "__cy").agg(F.first("__others").alias("__others"), F.collect_list("__edge").alias(edges))
+        .select(*[F.col("__others")[c].alias(c) for c in others], "__cx", "__cy", edges)
     )
     left, bottom = F.col("__cx") * F.lit(width), F.col("__cy") * F.lit(height)
     right, top = left + F.lit(width), bottom + F.lit(height)
-    # A little slack absorbs rounding in the division that assigns cells.
-    slack_x, slack_y = F.lit(width * 1e-6), F.lit(height * 1e-6)
-
-    # A ray to the right can meet only edges of its own height that end right of the cell's left side.
-    near = F.filter(es, lambda e: (F.greatest(e["y1"], e["y2"]) >= bottom - slack_y)
-                    & (F.least(e["y1"], e["y2"]) <= top + slack_y)
-                    & (F.greatest(e["x1"], e["x2"]) >= left - slack_x))
-    cells = cells.withColumn(edges, near)
     cut = F.exists(edges, lambda e: F.least(e["x1"], e["x2"]) <= right + slack_x)
     middle = in_polygon((left + right) / 2, (bottom + top) / 2, edges)
     return (
@@ -65,23 +70,14 @@ def polygon_cells(polygons: DataFrame, size: CellSize, edges: str = "edges") ->
     )
 
 
-def _cell_bytes(cells: DataFrame) -> int:
-    """Size of the cell table: its edges (four doubles and overhead) plus a row allowance."""
-    per_row = F.size("__edges") * 64 + 256
-    return cells.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0))).first()[0]
-
-
 def join_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, size: CellSize,
                   edges: str = "edges", how: str = "left") -> DataFrame:
     """Attach the polygons a point lies in; unmatched points stay with NULLs.
 
     Boundary points belong to every polygon they touch. ``how`` may be ``left``, ``inner`` or
-    ``left_semi``. The cell table is measured first and broadcast below the limit; beyond it
-    both sides are shuffled by cell and AQE splits crowded cells.
+    ``left_semi``. AQE measures the cell table and broadcasts it or splits crowded cells.
     """
     cells = polygon_cells(polygons, size, edges).withColumnRenamed(edges, "__edges")
-    if _cell_bytes(cells) <= BROADCAST_LIMIT_BYTES:
-        cells = F.broadcast(cells)
     width, height = _sides(size)
     located = points.withColumns({"__px": _cell(F.col(x), width), "__py": _cell(F.col(y), height)})
     condition = (

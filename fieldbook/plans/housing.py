@@ -12,11 +12,11 @@ from fieldbook.functions.numbers import ratio, text_to_double, text_to_int
 from fieldbook.functions.text import prefix, remove_first, remove_first_text, state_code, trim_space
 from fieldbook.operators.joins import equi_join, suffix_join
 from fieldbook.operators.literals import literal_table
-from fieldbook.operators.ranking import top_n, top_n_per_group
+from fieldbook.operators.ranking import top_n, top_n_per_group, top_n_ranked
 from fieldbook.operators.reshape import drop_prefixed, ints_where_named
 from fieldbook.operators.sets import bind_same, require_complete
 from fieldbook.operators.stats import with_fitted_line
-from fieldbook.sources.archives import read_zipped_csv
+from fieldbook.sources.archives import broken, read_zipped_csv, undersized
 from fieldbook.sources.delimited import read_year_folders
 from fieldbook.sources.html_tables import html_rows, table_columns
 
@@ -86,13 +86,20 @@ def industry_hierarchy(titles: DataFrame, lengths: tuple[int, int, int] = (2, 3,
     return ints_where_named(chosen.na.drop("any"), "code")
 
 
-def read_wages(spark: SparkSession, paths: str | list[str], years: Iterable[int] = ()) -> DataFrame:
-    """Wage table from yearly zip archives; an error names the years without rows."""
+def read_wages(spark: SparkSession, paths: str | list[str], years: Iterable[int], least_bytes: int = 1) -> DataFrame:
+    """Wage table from yearly zip archives.
+
+    An error names archives that are broken or smaller than ``least_bytes`` (published ones have
+    75 MB and more) and the wanted years without rows, so that no year is lost unseen.
+    """
+    faults = [f"{r.path}: {r.fault}" for r in broken(spark, paths).collect()]
+    faults += [f"{r.path}: only {r.length} bytes" for r in undersized(spark, paths, least_bytes).collect()]
+    if faults:
+        raise ValueError(f"unusable archives: {sorted(faults)}")
     columns = ["area_fips", "industry_code", "annual_avg_emplvl", "total_annual_wages"]
     raw = read_zipped_csv(spark, paths, columns)
     year = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"(\d{4})", 1).try_cast("int")
-    wages = clean_wages(raw.withColumn("year", year).drop("path"))
-    return require_complete(wages, "year", years) if years else wages
+    return require_complete(clean_wages(raw.withColumn("year", year).drop("path")), "year", years)
 
 
 def clean_wages(raw: DataFrame) -> DataFrame:
@@ -122,7 +129,7 @@ def most_permits(permit_table: DataFrame, population: DataFrame, first: int, las
     rows = permit_table.where(F.col("year").between(first, last))
     joined = equi_join(rows, population, [("cbsa", "geoid"), ("year", "year")])
     totals = joined.groupBy("name").agg(strict_sum("new_housing_units_permitted").alias("decade_totals"))
-    return top_n(totals, "decade_totals", n)
+    return top_n_ranked(totals, "decade_totals", n)
 
 
 def _area_permits(permit_table: DataFrame, population: DataFrame, area: str) -> DataFrame:
@@ -159,8 +166,8 @@ def state_income(income: DataFrame, households: DataFrame, population: DataFrame
         strict_sum("population").alias("total_population"),
         strict_sum("total_income").alias("total_income"),
     )
-    return top_n(states.withColumn("individual_income", ratio("total_income", "total_population")),
-                 "individual_income", n)
+    return top_n_ranked(states.withColumn("individual_income", ratio("total_income", "total_population")),
+                        "individual_income", n)
 
 
 def last_year_leading(wages: DataFrame, fips: str, industry: int) -> DataFrame:
@@ -177,7 +184,7 @@ def sector_share_peak(wages: DataFrame, fips: str, industry: int) -> DataFrame:
         F.sum(F.when(F.col("industry") == industry, F.col("total_wages"))).alias("sector_wages"),
         F.sum("total_wages").alias("all_wages"),
     ).withColumn("wage_share", ratio("sector_wages", "all_wages"))
-    return top_n(shares, "wage_share")
+    return top_n_ranked(shares, "wage_share")
 
 
 def wages_with_area(wages: DataFrame, areas: DataFrame, industry: int, key: str) -> DataFrame:

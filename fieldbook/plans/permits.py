@@ -19,7 +19,6 @@ from fieldbook.operators.ranking import first_per_key, top_n_per_group, with_pos
 from fieldbook.operators.reshape import lower_names, relocate, split_to_rows
 from fieldbook.operators.stats import ols_line
 from fieldbook.sources.delimited import read_csv, read_csv_tidy
-from fieldbook.sources.materialise import keep
 
 # Names of ten zip codes.
 ZIP_NAMES = {
@@ -42,15 +41,15 @@ _PARTS = ["start_year", "start_month", "start_day", "end_year", "end_month", "en
 
 
 def read_newest(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_tidy(spark, path, schemas.PERMITS_NEWEST)
+    return read_csv_tidy(spark, path, schemas.PERMITS_NEWEST, extra=True)
 
 
 def read_mid(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.PERMITS_MID)
+    return read_csv(spark, path, schemas.PERMITS_MID, extra=True)
 
 
 def read_oldest(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.PERMITS_OLDEST)
+    return read_csv(spark, path, schemas.PERMITS_OLDEST, extra=True)
 
 
 def harmonise_newest(newest: DataFrame) -> DataFrame:
@@ -71,17 +70,16 @@ def clean_permits(newest: DataFrame, mid: DataFrame, oldest: DataFrame, oldest_o
     """One row per permit and zip code with the zip code's group sizes.
 
     Time range and event type are join keys of both natural joins, so they are filtered
-    before the joins instead of after them.
+    before the joins instead of after them. The plan is lazy and writes nothing.
     """
     def wanted(df: DataFrame) -> DataFrame:
-        rows = df.where(between_midnights("startdatetime", first, last) & (F.col("eventtype") == event_type))
-        # The joins read each file several times: parse its text once and keep it as columns.
-        return keep(rows)
+        return df.where(between_midnights("startdatetime", first, last) & (F.col("eventtype") == event_type))
 
-    recent = natural_full_join(wanted(harmonise_newest(newest)), wanted(mid.withColumnsRenamed(_LISTS)))
+    # A file lists a permit once, so no event is hot.
+    recent = natural_full_join(wanted(harmonise_newest(newest)), wanted(mid.withColumnsRenamed(_LISTS)), right_unique=True)
     # The first row of an event is chosen among all its rows, hence before the filter.
     early = wanted(harmonise_oldest(oldest, oldest_order))
-    combined = natural_full_join(keep(recent.drop("parkingheld")), early, right_unique=True)
+    combined = natural_full_join(recent.drop("parkingheld"), early, right_unique=True)
     rows = split_to_rows(combined, "zipcodes").withColumns({
         "zipcode": trim_space("zipcodes"),
         "start_year": F.year("startdatetime"),
@@ -91,7 +89,7 @@ def clean_permits(newest: DataFrame, mid: DataFrame, oldest: DataFrame, oldest_o
         "end_month": F.month("enddatetime"),
         "end_day": F.dayofmonth("enddatetime"),
     }).drop("communityboards", "policeprecincts", "country", "zipcodes", "enteredon", "startdatetime", "enddatetime")
-    return with_zip_counts(keep(relocate(rows, "eventid", "eventtype", *_PARTS)))
+    return with_zip_counts(relocate(rows, "eventid", "eventtype", *_PARTS))
 
 
 def with_zip_counts(rows: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -16,10 +17,11 @@ import pyarrow.csv as pa_csv
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def read_zipped_csv(spark: SparkSession, paths: str | list[str], columns: Sequence[str]) -> DataFrame:
+def read_zipped_csv(spark: SparkSession, paths: str | list[str], columns: Sequence[str], skip_broken: bool = False) -> DataFrame:
     """Columns (as text) of every CSV in the archives, plus ``path`` of the archive.
 
-    An archive that cannot be read yields no rows; ``require_complete`` reports it.
+    An archive that is no zip file is an error; with ``skip_broken`` it yields no rows, and
+    ``broken`` lists it.
     """
     wanted = list(columns)
     schema = pa.schema([pa.field("path", pa.string()), *[pa.field(c, pa.string()) for c in wanted]])
@@ -33,8 +35,10 @@ def read_zipped_csv(spark: SparkSession, paths: str | list[str], columns: Sequen
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 try:
                     archive = zipfile.ZipFile(io.BytesIO(content.as_buffer()))
-                except zipfile.BadZipFile:
-                    continue
+                except zipfile.BadZipFile as fault:
+                    if skip_broken:
+                        continue
+                    raise ValueError(f"{path}: {fault}") from fault
                 for member in archive.namelist():
                     if not member.lower().endswith(".csv"):
                         continue
@@ -56,3 +60,20 @@ def undersized(spark: SparkSession, paths: str | list[str], minimum: int) -> Dat
         spark.read.format("binaryFile").load(paths)
         .select("path", "length").where(F.col("length") < minimum)
     )
+
+
+def broken(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``path`` and ``fault`` of archives that are no zip files or have a damaged member."""
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                try:
+                    damaged = zipfile.ZipFile(io.BytesIO(content.as_buffer())).testzip()
+                    found += [(path, f"damaged member {damaged}")] if damaged else []
+                except (zipfile.BadZipFile, EOFError, zlib.error) as fault:
+                    found.append((path, str(fault)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in (0, 1)], ["path", "fault"])
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return files.mapInArrow(test, "path string, fault string")

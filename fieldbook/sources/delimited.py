@@ -8,36 +8,67 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from fieldbook.operators.reshape import tidy_names
+from fieldbook.functions.text import tidy_name
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType | str, **options) -> DataFrame:
-    """CSV with a header, plain or gzip (one task per gzip file).
+def _wanted(schema: StructType | str) -> StructType:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-    Broken rows become NULLs and unreadable files are left out: a bad slice must not end
-    the load. ``require_complete`` reports what is missing.
+
+def _by_header(spark: SparkSession, paths: str | list[str], schema: StructType | str, extra: bool, tidy: bool, **options) -> DataFrame:
+    """Columns by their header names, in the order of the schema.
+
+    Of the headers one is read, to place the columns; Spark holds every other file's header against
+    it and fails if one differs. Pass files of another column order in a call of their own.
+    """
+    wanted = _wanted(schema)
+    options = {"header": True, "mode": "PERMISSIVE", "ignoreCorruptFiles": False, "enforceSchema": False, **options}
+    header = spark.read.options(**options, inferSchema=False).csv(paths).columns
+    names = [tidy_name(c) for c in header] if tidy else header
+    kinds = {tidy_name(f.name) if tidy else f.name: f.dataType for f in wanted.fields}
+    if absent := [c for c in kinds if c not in names]:
+        raise ValueError(f"columns {absent} are not in the header {header} of {paths}")
+    full = StructType([StructField(c, kinds.get(name, StringType())) for c, name in zip(header, names)])
+    rows = spark.read.schema(full).options(**options).csv(paths).withColumnsRenamed(dict(zip(header, names)))
+    return rows.select(*[f"`{c}`" for c in [*kinds, *([c for c in names if c not in kinds] if extra else [])]])
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType | str, extra: bool = False, **options) -> DataFrame:
+    """CSV with a header, plain or gzip (one task per gzip file), columns chosen by name.
+
+    A column of the schema that a header lacks is an error; other columns of the file are left out, or
+    with ``extra`` follow as text. Files that cannot be read to their end are an error. A cell that
+    does not fit its type is NULL; ``malformed`` shows the rows with such cells.
     """
-    return (
-        spark.read.schema(schema)
-        .options(header=True, mode="PERMISSIVE", ignoreCorruptFiles=True, **options)
-        .csv(paths)
-    )
+    return _by_header(spark, paths, schema, extra, False, **options)
+
+
+def malformed(spark: SparkSession, paths: str | list[str], schema: StructType | str, **options) -> DataFrame:
+    """The lines of a CSV (as ``line``) with a cell that does not fit its type or too few or many cells."""
+    wanted = _wanted(schema)
+    options = {"header": True, "enforceSchema": False, **options}
+    header = spark.read.options(**options).csv(paths).columns
+    kinds = {f.name: f.dataType for f in wanted.fields}
+    full = StructType([*[StructField(c, kinds.get(c, StringType())) for c in header], StructField("_line", StringType())])
+    rows = spark.read.schema(full).options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord="_line").csv(paths)
+    # The cells are named too: Spark parses, and so checks, only cells that are asked for.
+    return rows.where(F.col("_line").isNotNull()).select(F.struct(*[f"`{c}`" for c in header]).alias("cells"), F.col("_line").alias("line"))
 
 
 def read_tsv(spark: SparkSession, paths: str | list[str], schema: StructType | str,
-             null_marker: str | None = None) -> DataFrame:
+             null_marker: str | None = None, extra: bool = False) -> DataFrame:
     """TSV with a header; the null marker, if given, stands for a missing value."""
     options = {"sep": "\t"}
     if null_marker is not None:
         options["nullValue"] = null_marker
-    return read_csv(spark, paths, schema, **options)
+    return read_csv(spark, paths, schema, extra, **options)
 
 
-def read_csv_tidy(spark: SparkSession, paths: str | list[str], schema: StructType | str, **options) -> DataFrame:
-    """CSV whose headers (``ZipCode(s)``) are made safe (``ZipCode_s``)."""
-    return tidy_names(read_csv(spark, paths, schema, **options))
+def read_csv_tidy(spark: SparkSession, paths: str | list[str], schema: StructType | str, extra: bool = False, **options) -> DataFrame:
+    """CSV whose headers (``ZipCode(s)``) are made safe (``ZipCode_s``) and matched with the schema's names made safe."""
+    return _by_header(spark, paths, schema, extra, True, **options)
 
 
 def with_slice_year(df: DataFrame, column: str = "year") -> DataFrame:

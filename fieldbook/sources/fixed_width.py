@@ -65,19 +65,42 @@ def permit_table(files: DataFrame) -> DataFrame:
     return paired.select(*names, F.regexp_extract(file_name, r"(\d{4})", 1).try_cast("int").alias("year"))
 
 
-def sheet_table(files: DataFrame, skip: int, columns: dict[str, int], year: Column) -> DataFrame:
+def csv_cells(line: str | Column) -> Column:
+    """The cells of a comma-separated line; a quoted cell may hold commas and doubled quotes."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), as_col(line)), F.lit(r',(\s*"(?:[^"]|"")*"\s*|[^,]*)'), F.lit(1))
+
+    def plain(cell: Column) -> Column:
+        inner = F.trim(cell)
+        return F.when(inner.startswith('"'), F.replace(F.substring(inner, 2, F.length(inner) - 2), F.lit('""'), F.lit('"'))).otherwise(inner)
+
+    return F.transform(cells, plain)
+
+
+def sheet_table(files: DataFrame, skip: int, columns: dict[str, str | int], year: Column) -> DataFrame:
     """Rows of a sheet saved as comma-separated text: header after ``skip`` lines, rows with
-    any empty cell left out, named columns kept by their place (1-based)."""
-    lines = files.select("path", F.explode(lines_of("value", skip=skip + 1)).alias("__line"))
-    cells = lines.withColumn("__cells", F.split("__line", ","))
+    any empty cell left out, columns kept by their header (or by place, from 1).
+
+    A header that a sheet lacks is an error.
+    """
+    lines = files.select("path", lines_of("value", skip=skip).alias("__lines"))
+    sheet = lines.select("path", csv_cells(F.get("__lines", F.lit(0))).alias("__header"), F.explode(F.slice("__lines", 2, F.greatest(F.size("__lines"), F.lit(1)))).alias("__line"))
+    cells = sheet.select("path", "__header", csv_cells("__line").alias("__cells"))
     complete = cells.where(~F.exists("__cells", lambda c: F.trim(c) == ""))
+
+    def place(wanted: str | int) -> Column:
+        if isinstance(wanted, int):
+            return F.lit(wanted)
+        at = F.array_position("__header", F.lit(wanted)).cast("int")
+        absent = F.raise_error(F.concat(F.lit(f"no column {wanted} in "), F.col("path"))).cast("int")
+        return F.when(at > 0, at).otherwise(absent)
+
     return complete.select(
-        *[F.trim(F.try_element_at("__cells", F.lit(place))).alias(name) for name, place in columns.items()],
+        *[F.trim(F.try_element_at("__cells", place(wanted))).alias(name) for name, wanted in columns.items()],
         year.alias("year"),
     )
 
 
-def permit_sheet(files: DataFrame, code_place: int, total_place: int) -> DataFrame:
+def permit_sheet(files: DataFrame, code_place: str | int = "CBSA", total_place: str | int = "Total") -> DataFrame:
     """The newer permit listings: area code and total from a sheet with five leading lines."""
     file_name = F.element_at(F.split("path", "/"), -1)
     year = F.regexp_extract(file_name, r"(\d{4})", 1).try_cast("int")

@@ -128,6 +128,26 @@ def test_first_value_takes_earliest_day_then_smallest_rank(spark):
     ], key=str)
 
 
+def test_first_value_of_other_types(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    for kind, values in (("long", [3_000_000_000, 5]), ("double", [0.5, 0.25])):
+        df = spark.createDataFrame([("a", day(1), values[0]), ("a", day(2), values[1])], f"t string, week date, v {kind}")
+        got = groups.with_first_value(df, ["t"], "week", "v", "first_week", "first_v")
+        assert {(r.first_week, r.first_v) for r in got.collect()} == {(day(1), values[0])}
+        with pytest.raises(Exception, match="32 bits"):
+            df.groupBy("t").agg(groups.first_of_group("week", "v", "fw", "fv")["fv"]).collect()
+    for kind in ("int", "long"):
+        df = spark.createDataFrame([("a", day(1), None), ("a", day(2), 4), ("b", None, 1)], f"t string, week date, v {kind}")
+        got = groups.with_first_value(df, ["t"], "week", "v", "first_week", "first_v")
+        assert {(r.t, r.first_week, r.first_v) for r in got.collect()} == {("a", day(1), None), ("b", None, None)}
+
+
+def test_top_n_ranked(spark):
+    df = spark.createDataFrame([(0.1,), (0.3,), (0.3,), (None,), (-1.0,)], "x double")
+    assert bag(ranking.top_n_ranked(df, "x", 2)) == bag(ranking.top_n(df, "x", 2)) == [(0.3,), (0.3,)]
+    assert len(bag(ranking.top_n_ranked(df, "x", 5))) == len(bag(ranking.top_n(df, "x", 5))) == 5
+
+
 def test_group_sizes(spark):
     df = spark.createDataFrame([("z", 1, 1), ("z", 1, 2), ("z", 2, 1), (None, 1, 1)], "zip string, y int, m int")
     got = groups.with_group_sizes(df, ["zip", "y", "m"], {"total": ["zip"], "year": ["zip", "y"], "month": ["zip", "y", "m"]})

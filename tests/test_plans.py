@@ -91,6 +91,12 @@ def test_wages_from_archives(spark, tmp_path):
     ]
     with pytest.raises(ValueError, match="2018"):
         housing.read_wages(spark, paths, [2018, 2019])
+    with pytest.raises(ValueError, match="2019_annual_singlefile.zip: only"):
+        housing.read_wages(spark, paths, [2019, 2021], least_bytes=10_000)
+    (tmp_path / "2022_annual_singlefile.zip").write_bytes(b"broken")
+    with pytest.raises(ValueError, match="2022_annual_singlefile.zip"):
+        housing.read_wages(spark, paths, [2019, 2021])
+    (tmp_path / "2022_annual_singlefile.zip").unlink()
     areas = spark.createDataFrame([(1018, "here"), (None, "nowhere")], "cbsa int, label string")
     assert bag(housing.wages_with_area(wages, areas, 52, "cbsa"))[0] == (2019, 10, 1018.0, "here")
     assert bag(housing.last_year_leading(wages, "C1018", 52)) == [(2021, "C1018", 10)]

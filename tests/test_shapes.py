@@ -1,3 +1,5 @@
+import math
+
 """Plan shapes that decide whether a query survives far more data and hot keys."""
 
 import re
@@ -102,8 +104,7 @@ def test_hot_group_is_split_in_top_n_per_group(spark, tiny_partitions):
     assert len({r.k for r in rows}) == 5000
 
 
-def test_crowded_cell_is_split_when_cells_are_many(spark, tiny_partitions, monkeypatch):
-    monkeypatch.setattr(spatial, "BROADCAST_LIMIT_BYTES", 0)
+def test_crowded_cell_is_split_when_cells_are_many(spark, tiny_partitions):
     square = spark.createDataFrame([(1, ring_edges([(0, 0), (50, 0), (50, 50), (0, 50)]))], f"district int, edges {EDGES_TYPE}")
     points = skewed(spark).select((F.col("k") % 100 + 0.5).alias("x"), (F.col("k") % 70 + 0.5).alias("y"), "v")
     rows, plan = final_plan(spatial.join_polygons(points, square, "x", "y", 1.0))
@@ -115,4 +116,16 @@ def test_crowded_cell_is_split_when_cells_are_many(spark, tiny_partitions, monke
 def test_few_cells_are_broadcast(spark):
     square = spark.createDataFrame([(1, ring_edges([(0, 0), (5, 0), (5, 5), (0, 5)]))], f"district int, edges {EDGES_TYPE}")
     points = spark.range(10).select(F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y"))
-    assert "BroadcastHashJoin" in plan_of(spatial.join_polygons(points, square, "x", "y", 1.0))
+    assert "BroadcastHashJoin" in final_plan(spatial.join_polygons(points, square, "x", "y", 1.0))[1]
+
+
+def test_one_large_polygon_is_cut_by_many_tasks(spark):
+    corners = [(1000 + 900 * math.cos(k * math.tau / 10_000), 1000 + 900 * math.sin(k * math.tau / 10_000)) for k in range(10_000)]
+    circle = spark.createDataFrame([(1, ring_edges(corners))], f"district int, edges {EDGES_TYPE}")
+    cells = spatial.polygon_cells(circle, 20.0)
+    parts = [r["count"] for r in cells.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert len(parts) > 4 and max(parts) < sum(parts) / 2
+    points = spark.range(5000).select((F.col("id") * 37 % 2000 + 0.5).cast("double").alias("x"), (F.col("id") * 101 % 2000 + 0.5).cast("double").alias("y"))
+    inside = spatial.points_within(points, circle, "x", "y", 20.0).count()
+    radius = F.sqrt(F.pow(F.col("x") - 1000, 2) + F.pow(F.col("y") - 1000, 2))
+    assert inside == points.where(radius < 900 - 1e-3).count()

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldbook import schemas
+from fieldbook.plans import permits
 from fieldbook.session import shared_folder
 from fieldbook.sources import archives, delimited, fixed_width, geojson, html_tables, materialise
 
@@ -127,6 +128,47 @@ def test_sheet(spark, tmp_path):
     assert bag(got) == [(10180, 558, 2019), (10580, 3, 2019)]
 
 
+def test_sheet_with_quoted_names_by_header(spark, tmp_path):
+    text = "t\n\n\n\n\nCSA,CBSA,Name,Total\n1,10740,\"Albuquerque, NM\",88\n2,10750,\"The \"\"B\"\"\",7\n3,10760,\"\",9\n"
+    write(tmp_path / "msaannual_2020.csv", text)
+    files = fixed_width.read_whole_files(spark, str(tmp_path))
+    assert bag(fixed_width.permit_sheet(files)) == [(10740, 88, 2020), (10750, 7, 2020)]
+    names = fixed_width.sheet_table(files, 5, {"name": "Name"}, F.lit(1)).select("name")
+    assert bag(names) == [("Albuquerque, NM",), ('The "B"',)]
+    with pytest.raises(Exception, match="no column Units"):
+        fixed_width.permit_sheet(files, "CBSA", "Units").collect()
+
+
+def test_columns_by_header_name(spark, tmp_path):
+    schema = "country string, week date, rank int"
+    write(tmp_path / "a.tsv", "Category\tweek\trank\tcountry\nTV\t2024-01-07\t1\tUS\n")
+    assert delimited.read_tsv(spark, str(tmp_path / "a.tsv"), schema).columns == ["country", "week", "rank"]
+    assert bag(delimited.read_tsv(spark, str(tmp_path / "a.tsv"), schema)) == [("US", dt.date(2024, 1, 7), 1)]
+    assert bag(delimited.read_tsv(spark, str(tmp_path / "a.tsv"), schema, extra=True)) == [("US", dt.date(2024, 1, 7), 1, "TV")]
+    with pytest.raises(ValueError, match="season"):
+        delimited.read_tsv(spark, str(tmp_path / "a.tsv"), schema + ", season string")
+    # A second file of another column order cannot be read along by position.
+    write(tmp_path / "b.tsv", "country\tCategory\tweek\trank\nUS\tTV\t2024-01-07\t1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        delimited.read_tsv(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")], schema).collect()
+
+
+def test_cut_off_gzip_and_malformed_cells(spark, tmp_path):
+    whole = gzip.compress("".join(["x,y\n", *(f"{k},{k * 7919 % 100003}\n" for k in range(100_000))]).encode())
+    (tmp_path / "cut.csv.gz").write_bytes(whole[:len(whole) // 2])
+    with pytest.raises(Exception, match="(?i)unexpected end|EOF"):
+        delimited.read_csv(spark, str(tmp_path / "cut.csv.gz"), "x int, y int").collect()
+    write(tmp_path / "bad.csv", "x,y\n1,2\nz,3\n4\n")
+    assert sorted(r.line for r in delimited.malformed(spark, str(tmp_path / "bad.csv"), "x int, y int").collect()) == ["4", "z,3"]
+
+
+def test_newest_permits_keep_their_further_columns(spark, tmp_path):
+    header = "EventID,EventType,StartDateTime,EndDateTime,EnteredOn,EventAgency,ParkingHeld,Borough,CommunityBoard(s),PolicePrecinct(s),Category,SubCategoryName,Country,ZipCode(s)"
+    write(tmp_path / "p.csv", header + "\n1,Shooting Permit,a,b,c,Office,d,Queens,1,2,Television,Cable,US,\"11101, 11102\"\n")
+    got = permits.read_newest(spark, str(tmp_path / "p.csv")).first()
+    assert (got.Country, got.ZipCode_s, got.Category, got.EventAgency) == ("US", "11101, 11102", "Television", "Office")
+
+
 def test_pairing_pads_the_shorter_list(spark):
     df = spark.createDataFrame([("f", [1, 2], ["a"])], "path string, n array<int>, s array<string>")
     got = fixed_width.pair_by_position(df, F.col("n"), F.col("s"), ("x", "y")).select("path", "position", "x", "y")
@@ -139,7 +181,10 @@ def test_zip_archives(spark, tmp_path):
             z.writestr(f"{year}.csv", f"extra,area_fips,code\nq,C1018,{value}\nq,01000,\n")
             z.writestr("readme.txt", "no table")
     (tmp_path / "2011_annual.zip").write_bytes(b"broken")
-    df = archives.read_zipped_csv(spark, str(tmp_path) + "/*.zip", ["area_fips", "code"])
+    with pytest.raises(Exception, match="2011_annual.zip"):
+        archives.read_zipped_csv(spark, str(tmp_path) + "/*.zip", ["area_fips"]).collect()
+    assert [r.path.split("/")[-1] for r in archives.broken(spark, str(tmp_path) + "/*.zip").collect()] == ["2011_annual.zip"]
+    df = archives.read_zipped_csv(spark, str(tmp_path) + "/*.zip", ["area_fips", "code"], skip_broken=True)
     year = F.regexp_extract("path", r"(\d{4})_annual", 1)
     assert bag(df.select(year, "area_fips", "code")) == sorted(
         [("2009", "C1018", "5"), ("2009", "01000", None), ("2010", "C1018", "6"), ("2010", "01000", None)], key=str
