@@ -83,7 +83,8 @@ def test_hot_key_and_poor_sample_are_cut(store):
     for points in (1, 32):
         done = sharding.shard(rows, F.xxhash64("text"), F.xxhash64("doc_id"), F.col("size"), ranges=64, points=points)
         sizes = [r.n for r in done.groupBy("shard").agg(F.count("*").alias("n")).collect()]
-        assert len(sizes) == 8 and max(sizes) - min(sizes) < 0.2 * 750
+        # A shard ends within a range of its fair end; a poor sample's ranges have up to twice their fair bytes.
+        assert len(sizes) == 8 and max(sizes) - min(sizes) <= (2 if points == 32 else 4) * 6000 / 64
         # A text of one row or of few is in one shard; only the hot one is spread.
         split = done.groupBy("row.text").agg(F.count_distinct("shard").alias("n")).where("n > 1").collect()
         assert [r.text for r in split] == ["same"]
