@@ -208,9 +208,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE)
                     found_ids = np.concatenate([found_ids, ids[read]])
                     best = np.lexsort((found_ids, -found))[:k]
                     found, found_ids = found[best], found_ids[best]
-                out["query_id"].append(np.full(len(found), q_ids[q]))
-                out["vec_id"].append(found_ids)
-                out["score"].append(found)
+                # The k best of all blocks reach the threshold, so nothing below it is of use.
+                best = found >= limit[q]
+                out["query_id"].append(np.full(best.sum(), q_ids[q]))
+                out["vec_id"].append(found_ids[best])
+                out["score"].append(found[best])
             yield pa.RecordBatch.from_pydict({c: pa.array(np.concatenate(v), pa.int64()) for c, v in out.items()})
 
     asked = asked.join(limits, "q_block")
