@@ -48,8 +48,9 @@ def polygon_cells(polygons: DataFrame, size: CellSize, edges: str = "edges") ->
     sent = (
         polygons.select(
             F.monotonically_increasing_id().alias("__polygon"), F.struct(F.lit(0).alias("__zero"), *others).alias("__others"),
-            _cell(least_x - slack_x, width).alias("__first"), F.explode(es).alias("__edge"),
+            _cell(least_x - slack_x, width).alias("__first"), es.alias("__edges"),
         )
+        .select("__polygon", "__others", "__first", F.explode("__edges").alias("__edge"))
         .withColumn("__cy", F.explode(F.sequence(
             _cell(F.least("__edge.y1", "__edge.y2") - slack_y, height), _cell(F.greatest("__edge.y1", "__edge.y2") + slack_y, height)
         )))

@@ -17,10 +17,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.REGISTRY) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.REGISTRY))
 def test_query(spark, sf, con, name):
     found = compare.differences(entry.queries()[name](spark, sf), con, entry.oracle_sql()[name])
     # On the smallest tables a filter on one area may rightly leave nothing.
