@@ -10,7 +10,7 @@ from fieldbook.functions.dates import week_start
 from fieldbook.functions.numbers import text_to_int
 from fieldbook.operators.sets import years
 from fieldbook.plans import housing
-from fieldbook.sources.fixed_width import cut, lines_of, pair_by_position, permit_table
+from fieldbook.sources.fixed_width import cut, lines_of, pair_by_position, permit_sheet as read_sheet, permit_table
 
 
 def _areas(sql: str) -> str:
@@ -207,6 +207,31 @@ def permit_listing(t: Tables) -> DataFrame:
     return permit_table(files)
 
 
+@query("""
+SELECT CAST(10000 + c_nationkey AS BIGINT) AS cbsa, CAST(count(*) AS INTEGER) AS new_housing_units_permitted,
+       CAST(year(o_orderdate) AS INTEGER) AS year
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey <> 3 GROUP BY ALL""")
+def permit_sheet(t: Tables) -> DataFrame:
+    """Yearly counts per nation laid out as sheets with five leading lines and quoted names; one nation's
+    rows lack a cell and so are left out."""
+    counts = (
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(F.year("o_orderdate").alias("y"), "c_nationkey", "n_name").agg(F.count(F.lit(1)).alias("n"))
+    )
+    csa = F.when(F.col("c_nationkey") == 3, F.lit("")).otherwise(F.lit("999"))
+    line = F.concat_ws(
+        ",", csa, (F.col("c_nationkey") + 10000).cast("string"), F.concat(F.lit('"'), "n_name", F.lit(', ""XY"""')), F.col("n").cast("string")
+    )
+    files = (
+        counts.select("y", line.alias("line")).groupBy("y").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+        .select(
+            F.concat(F.lit("/landed/msaannual_"), F.col("y").cast("string"), F.lit("99.csv")).alias("path"),
+            F.concat(F.lit("Table\n\n\n\n\nCSA,CBSA,Name,Total\n"), F.array_join("lines", "\n"), F.lit("\n")).alias("value"),
+        )
+    )
+    return read_sheet(files)
+
+
 @query("""
 SELECT doc_id, CAST(position AS INTEGER) AS position, long_line, short_line FROM (
   SELECT doc_id, unnest(range(1, greatest(len(longs), len(shorts)) + 1)) AS position,

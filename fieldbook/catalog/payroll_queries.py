@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from fieldbook.catalog import standins as s
-from fieldbook.catalog.registry import Tables, query, rounded, with_views
+from fieldbook.catalog.registry import T_GRID, Tables, query, rounded, with_views
 from fieldbook.operators.periods import absolute_change
 from fieldbook.plans import payroll
 
@@ -20,22 +20,17 @@ def _combined(t: Tables) -> DataFrame:
     return payroll.combine(s.levels(t), s.revisions(t))
 
 
-# Two-sided tail and 97.5 % point of the t distribution by the trapezoid rule on a fine grid.
 _WELCH = """
 sides AS (SELECT count(*) FILTER (g) AS n1, avg(v) FILTER (g) AS m1, var_samp(v) FILTER (g) AS v1,
                  count(*) FILTER (NOT g) AS n2, avg(v) FILTER (NOT g) AS m2, var_samp(v) FILTER (NOT g) AS v2
           FROM (SELECT revision AS v, year(date) >= 1998 AS g FROM combined WHERE revision IS NOT NULL)),
 test AS (SELECT (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS statistic, m1 - m2 AS estimate, sqrt(v1 / n1 + v2 / n2) AS se,
                 pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) AS t_df FROM sides),
-grid AS (SELECT k, k * 0.0005 AS x, statistic, t_df,
-                exp(lgamma((t_df + 1) / 2) - lgamma(t_df / 2)) / sqrt(t_df * pi())
-                  * pow(1 + (k * 0.0005) * (k * 0.0005) / t_df, -(t_df + 1) / 2) AS density
-         FROM test, (SELECT unnest(range(0, 40001)) AS k)),
-area AS (SELECT k, x, statistic, 0.5 + sum(density) OVER (ORDER BY k) * 0.0005 - 0.00025 * (density + first_value(density) OVER (ORDER BY k)) AS cdf FROM grid)"""
+"""
 
 
 def _welch(select: str) -> str:
-    return with_views("SELECT 1", **s.PAYROLL_VIEWS).rsplit("\nSELECT 1", 1)[0] + "," + _WELCH + "\n" + select
+    return with_views("SELECT 1", **s.PAYROLL_VIEWS).rsplit("\nSELECT 1", 1)[0] + "," + _WELCH + T_GRID + "\n" + select
 
 
 @query("""

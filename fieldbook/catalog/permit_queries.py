@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from fieldbook.catalog import standins as s
-from fieldbook.catalog.registry import Tables, query, rounded, with_views
+from fieldbook.catalog.registry import T_GRID, Tables, query, rounded, with_views
 from fieldbook.operators.groups import with_first_value, with_group_sizes, with_group_values
 from fieldbook.operators.joins import natural_full_join as full_join
 from fieldbook.operators.periods import mean_growth, overlap_with_previous, yearly
@@ -199,17 +199,24 @@ def yoy_growth(t: Tables) -> DataFrame:
     return rounded(mean_growth(counts, "c_mktsegment", "y", "n"), 6, "mean_growth")
 
 
-@query("""
-SELECT count(*) AS n, round(regr_slope(a, b), 8) AS slope, round(regr_intercept(a, b), 4) AS intercept,
-       round(corr(a, b), 8) AS correlation, round(regr_r2(a, b), 8) AS r_squared
-FROM (SELECT year(o_orderdate) AS y, count(*) FILTER (o_orderstatus = 'F') AS a, count(*) FILTER (o_orderstatus = 'O') AS b
-      FROM orders GROUP BY 1)""")
+@query(f"""
+WITH fit AS (
+  SELECT count(*) AS n, regr_slope(a, b) AS slope, regr_intercept(a, b) AS intercept, corr(a, b) AS correlation, regr_r2(a, b) AS r_squared
+  FROM (SELECT year(o_orderdate) AS y, count(*) FILTER (o_orderstatus = 'F') AS a, count(*) FILTER (o_orderstatus = 'O') AS b
+        FROM orders GROUP BY 1)),
+test AS (SELECT correlation * sqrt((n - 2) / (1 - r_squared)) AS statistic, CAST(n - 2 AS DOUBLE) AS t_df FROM fit),
+{T_GRID}
+SELECT n, round(slope, 8) AS slope, round(intercept, 4) AS intercept, round(correlation, 8) AS correlation, round(r_squared, 8) AS r_squared,
+       round(2 * (1 - p.cdf), 5) AS p_value
+FROM fit,
+     (SELECT a.cdf + (b.cdf - a.cdf) * (abs(a.statistic) - a.x) / 0.0005 AS cdf FROM area a JOIN area b ON b.k = a.k + 1
+      WHERE abs(a.statistic) >= a.x AND abs(a.statistic) < b.x) p""")
 def correlation_years(t: Tables) -> DataFrame:
     pair = permits.yearly_pair(
         t.orders.withColumn("start_year", F.year("o_orderdate")),
         F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O", ("a", "b"), (),
     )
-    line = ols_line(pair, "a", "b").drop("p_value")
+    line = rounded(ols_line(pair, "a", "b"), 5, "p_value")
     return rounded(rounded(line, 8, "slope", "correlation", "r_squared"), 4, "intercept")
 
 

@@ -63,3 +63,12 @@ def with_views(select: str, **views: str) -> str:
     """A SELECT over named subqueries."""
     parts = ",\n".join(f"{name} AS ({text})" for name, text in views.items())
     return f"WITH {parts}\n{select}"
+
+
+# The distribution function of Student's t from 0 to 20 by the trapezoid rule on a fine grid, for the
+# statistic and the degrees of freedom in a view ``test``.
+T_GRID = """grid AS (SELECT k, k * 0.0005 AS x, statistic, t_df,
+                exp(lgamma((t_df + 1) / 2) - lgamma(t_df / 2)) / sqrt(t_df * pi())
+                  * pow(1 + (k * 0.0005) * (k * 0.0005) / t_df, -(t_df + 1) / 2) AS density
+         FROM test, (SELECT unnest(range(0, 40001)) AS k)),
+area AS (SELECT k, x, statistic, 0.5 + sum(density) OVER (ORDER BY k) * 0.0005 - 0.00025 * (density + first_value(density) OVER (ORDER BY k)) AS cdf FROM grid)"""

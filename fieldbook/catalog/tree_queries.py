@@ -10,6 +10,7 @@ from fieldbook.functions.geometry import EDGES_TYPE, great_circle_m, in_polygon,
 from fieldbook.operators.ranking import bottom_n
 from fieldbook.operators.spatial import join_polygons
 from fieldbook.plans import trees
+from fieldbook.sources.geojson import as_points, features_in
 
 
 def _trees(sql: str) -> str:
@@ -20,6 +21,22 @@ def _located(t: Tables) -> DataFrame:
     return trees.with_district(s.trees(t), s.districts(t), s.DISTRICT_CELL)
 
 
+@query("""
+SELECT c_custkey AS id, c_mktsegment AS name, CAST(c_custkey % 360 - 180 AS DOUBLE) AS lon, CAST(c_nationkey AS DOUBLE) / 2 AS lat
+FROM customer""")
+def paged_features(t: Tables) -> DataFrame:
+    """Points of GeoJSON pages, one page per nation, read as one table."""
+    place = F.array((F.col("c_custkey") % 360 - 180).cast("double"), F.col("c_nationkey").cast("double") / 2)
+    feature = F.struct(
+        F.struct(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("name")).alias("properties"),
+        F.struct(F.lit("Point").alias("type"), place.alias("coordinates")).alias("geometry"),
+    )
+    # A page holds 500 features, as the service sends them.
+    pages = t.customer.groupBy("c_nationkey", F.floor(F.col("c_custkey") / 500)).agg(F.collect_list(feature).alias("features"))
+    texts = pages.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value"))
+    return as_points(features_in(texts, "value", "id: bigint, name: string"))
+
+
 @query(_trees("SELECT vec_id, genusspecies, tpcondition, lon, lat, district, area FROM located"))
 def points_in_polygons(t: Tables) -> DataFrame:
     return _located(t).select("vec_id", "genusspecies", "tpcondition", "lon", "lat", "district", "area")

@@ -3,8 +3,8 @@
 Spark's exact ``percentile`` holds all distinct values of a group in one buffer. Here a
 mergeable sketch first brackets every wanted rank, a second pass counts the values below
 and inside each bracket, and a third cuts the few values inside into slices, of which only
-those holding the rank are ordered. If a bracket misses its rank it is widened to that
-side, so the sketch decides the speed, never the result.
+those holding the rank are ordered. If a bracket misses its rank it is widened to the
+smallest or largest value and sliced like any other, so the sketch decides the speed, never the result.
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     sketch = rows.groupBy(*by).agg(
         F.count(x).alias("n"),
         F.percentile_approx(x, margins, SKETCH_ACCURACY).alias("edges"),
+        F.min(x).alias("least"),
+        F.max(x).alias("most"),
     )
 
     # Second pass: values below and up to the ends of each bracket. The sketch values ride
@@ -52,6 +54,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     highs = [s["edges"][2 * i + 1] for i in range(len(probs))]
     counted = _attach(rows, sketch, by, "__s").groupBy(*by).agg(
         F.max(s["n"]).alias("n"),
+        F.max(s["least"]).alias("least"),
+        F.max(s["most"]).alias("most"),
         F.array(*[F.max(low) for low in lows]).alias("low"),
         F.array(*[F.max(high) for high in highs]).alias("high"),
         F.array(*[F.count_if(x < low) for low in lows]).alias("below"),
@@ -66,8 +70,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         return F.struct(
             i.alias("i"),
             F.when(low_fits, below).otherwise(0).alias("skip"),
-            F.when(low_fits, F.get("low", i)).otherwise(F.lit(float("-inf"))).alias("low"),
-            F.when(high_fits, F.get("high", i)).otherwise(F.lit(float("inf"))).alias("high"),
+            F.when(low_fits, F.get("low", i)).otherwise(F.col("least")).alias("low"),
+            F.when(high_fits, F.get("high", i)).otherwise(F.col("most")).alias("high"),
         )
 
     every = F.array(*[F.lit(i) for i in range(len(probs))])

@@ -16,11 +16,19 @@ def read_features(spark: SparkSession, paths: str | list[str], properties: str)
 
     Coordinates stay JSON text, as their nesting depends on the kind of geometry.
     """
-    schema = (
-        "features array<struct<"
-        f"properties: struct<{properties}>, geometry: struct<type: string, coordinates: string>>>"
-    )
-    pages = spark.read.schema(schema).json(paths, multiLine=True)
+    return _features(spark.read.schema(_collection(properties)).json(paths, multiLine=True))
+
+
+def features_in(pages: DataFrame, text: str, properties: str) -> DataFrame:
+    """The same of pages whose texts are a column."""
+    return _features(pages.select(F.from_json(text, _collection(properties)).alias("page")).select("page.features"))
+
+
+def _collection(properties: str) -> str:
+    return f"features array<struct<properties: struct<{properties}>, geometry: struct<type: string, coordinates: string>>>"
+
+
+def _features(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode("features").alias("f")).select(
         "f.properties.*",
         F.col("f.geometry.type").alias("kind"),

@@ -25,3 +25,12 @@ def test_query(spark, sf, con, name):
     found = compare.differences(entry.queries()[name](spark, sf), con, entry.oracle_sql()[name])
     # On the smallest tables a filter on one area may rightly leave nothing.
     assert found is None or (found == "no rows" and sf.rstrip("/").endswith("sf0.001"))
+
+
+@pytest.mark.parametrize("name, order", [
+    ("permits_per_year", "start_year NULLS LAST"), ("permits_per_borough", "total_permits DESC NULLS LAST, borough"), ("ordered_categories", "n, p_brand"),
+])
+def test_order(spark, sf, con, name, order):
+    df = entry.REGISTRY[name](spark, sf)
+    wanted = con.execute(f"SELECT {', '.join(df.columns)} FROM ({entry.REGISTRY[name].sql}) ORDER BY {order}").fetchall()
+    assert [tuple(r) for r in df.collect()] == wanted
