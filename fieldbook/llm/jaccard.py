@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldbook.llm.components import components
-from fieldbook.llm.tables import Scratch, partitions
+from fieldbook.llm.tables import Scratch, maybe_among, partitions
 from fieldbook.llm.words import BLANKS, Splitter, mixed, pieces
 
 SHINGLE = 5
@@ -343,7 +343,9 @@ def grouped(docs: DataFrame) -> DataFrame:
         nodes.where("4 * shared >= 3 * n").select("digest", "first_id", F.monotonically_increasing_id().alias("node")), "near"
     )
     # Of a node's equal texts any row will do; the digest picks the right row of a repeated doc_id.
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(near, F.col("doc_id").eqNullSafe(F.col("first_id")))
+    listed = maybe_among(near, F.xxhash64("first_id"))
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(listed(F.xxhash64("doc_id")))
+    some = some.join(near, F.col("doc_id").eqNullSafe(F.col("first_id")))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -375,16 +377,19 @@ def grouped(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The first document, by doc_id, of each component, with the columns of ``docs``.
 
-    Texts without words stay. Of repeated rows, one stays. A document without doc_id comes last.
+    Texts without words stay. Of repeated rows, one stays. A document without doc_id comes last. Documents
+    that are neither dropped nor repeated, which are most, are not shuffled.
     """
     scratch = Scratch(docs.sparkSession, "keepers")
-    found = scratch.put(grouped(docs), "grouped")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
-    keepers = scratch.put(found.where("n_shingles > 0").groupBy("class").agg(first).select("first.doc_id", "first.key"), "keepers")
-    empty = scratch.put(found.where("n_shingles = 0").select("doc_id", "key").distinct(), "empty")
+    per = scratch.put(grouped(docs).where("n_shingles > 0").groupBy("class", "doc_id", "key").agg(F.count("*").alias("copies")), "per")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    firsts = per.groupBy("class").agg(F.min(place).alias("first"))
+    judged = per.join(firsts, "class").select("doc_id", "key", "copies", (place == F.col("first")).alias("stays"))
+    touched = scratch.put(judged.where("not stays or copies > 1").select("doc_id", "key", "stays"), "touched")
+    scratch.keep_only("touched")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
-
-    def chosen(names: DataFrame) -> DataFrame:
-        return rows.join(names, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("key")), "left_semi")
-
-    return chosen(keepers).dropDuplicates(["id", "hash"]).select("row.*").union(chosen(empty).select("row.*"))
+    rows = rows.withColumn("maybe", maybe_among(touched, F.xxhash64("doc_id", "key"))(F.xxhash64("id", "hash")))
+    rest = rows.where("maybe").join(touched, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("key")), "left")
+    once = rest.where("stays").dropDuplicates(["id", "hash"])
+    kept = rows.where("not maybe").select("row").union(rest.where("stays is null").select("row")).union(once.select("row"))
+    return kept.select("row.*")

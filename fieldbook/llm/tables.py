@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fieldbook.session import shared_folder
@@ -47,6 +50,35 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+BITS = 1 << 25
+_WORD_BYTES = 4096
+
+
+def maybe_among(keys: DataFrame, key: Column) -> Callable[[Column], Column]:
+    """A test of long keys that is true for all in ``keys`` and false for most others.
+
+    The keys, which must be hashes, set bits in a map of fixed size (4 MB), whatever their number; more keys
+    let more others through. So large rows that cannot match a join stay where they are, and
+    only the others are shuffled to the exact one.
+    """
+    place = F.pmod(key, F.lit(BITS)) + 1
+    words = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("word")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")
+    )
+    bits = np.zeros(BITS // 8, np.uint8)
+    for row in words.collect():
+        at = (row.word - 1) * _WORD_BYTES
+        bits[at:at + _WORD_BYTES] = np.frombuffer(row.bits, np.uint8)
+    shared = keys.sparkSession.sparkContext.broadcast(bits)
+
+    @F.arrow_udf("boolean")
+    def test(hashes: pa.Array) -> pa.Array:
+        at = hashes.to_numpy() % BITS
+        return pa.array(shared.value[at >> 3] >> (at & 7) & 1 == 1)
+
+    return test
+
+
 def numbered(scratch: Scratch, df: DataFrame, order: list[Column], position: str) -> DataFrame:
     """Rows of unlike ``order`` with their gapless place from 0, without ordering all rows in one task.
 
