@@ -52,7 +52,7 @@ def html_matrix(t: Tables) -> DataFrame:
 
 @query(_payroll("SELECT date, level, original, final, revision FROM combined"))
 def series_left_join(t: Tables) -> DataFrame:
-    return _combined(t)
+    return payroll.newest_first(_combined(t))
 
 
 @query(_payroll("""

@@ -11,7 +11,13 @@ from pyspark.sql.types import StructType
 from fieldbook.session import apply_skew_settings
 
 
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
+
+
+def _changed(spark: SparkSession, path: str) -> int:
+    """When the table was last written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).getModificationTime()
 
 
 class Tables:
@@ -21,11 +27,12 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        # The schema is read from a file's footer once, not by every query.
+        # The schema is read from a file's footer once per state of the table, not by every query.
         path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        table = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        key = path, _changed(self.spark, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        table = self.spark.read.schema(_SCHEMAS[key]).parquet(path)
         setattr(self, name, table)
         return table
 

@@ -19,6 +19,7 @@ from fieldbook.operators.stats import with_fitted_line
 from fieldbook.sources.archives import broken, read_zipped_csv, undersized
 from fieldbook.sources.delimited import read_year_folders
 from fieldbook.sources.html_tables import html_rows, table_columns
+from fieldbook.sources.materialise import read_through
 
 # Two-digit sectors that the published list gives only as ranges.
 RANGE_SECTORS = [
@@ -102,6 +103,11 @@ def read_wages(spark: SparkSession, paths: str | list[str], years: Iterable[int]
     return require_complete(clean_wages(raw.withColumn("year", year).drop("path")), "year", years)
 
 
+def wages_once(spark: SparkSession, landed: str, paths: str | list[str], years: Iterable[int], least_bytes: int = 1) -> DataFrame:
+    """The wage table, read from the archives the first time and from Parquet at ``landed`` from then on."""
+    return read_through(spark, landed, lambda: read_wages(spark, paths, years, least_bytes))
+
+
 def clean_wages(raw: DataFrame) -> DataFrame:
     """Metropolitan areas and plain industry codes only, typed, with the average wage."""
     code = F.col("industry_code")

@@ -1,7 +1,6 @@
 """Payroll levels and their revisions.
 
-The level series has one row per calendar date, so medians over it use the built-in exact
-aggregate; its size is bounded by the calendar, not by the raw data.
+Medians go through ``exact_median``, which orders no whole column. Nothing here is sorted but for reports.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ def levels_from_matrix(matrix: DataFrame, keys: tuple[str, ...] = ()) -> DataFra
         parse_year_month("year", "month").alias("date"),
         text_to_double(remove_all("level", ",")).alias("level"),
     )
-    return series.na.drop("any").orderBy(*keys, F.asc_nulls_last("date"))
+    return series.na.drop("any")
 
 
 def levels_from_pages(pages: DataFrame, page_id: str = "page_id", html: str = "html", table: int = 2) -> DataFrame:
@@ -46,13 +45,18 @@ def revisions_from_pages(pages: DataFrame, page_id: str = "page_id", html: str =
     numbers = [text_to_double(remove_all(c, ",")).alias(c) for c in ("original", "final", "revision")]
     return (
         cells.select(parse_year_month("table_id", F.substring("month", 1, 3)).alias("date"), *numbers)
-        .where(F.col("date").isNotNull()).orderBy("date")
+        .where(F.col("date").isNotNull())
     )
 
 
 def combine(levels: DataFrame, revisions: DataFrame) -> DataFrame:
-    """Levels with their revisions, newest first; dates without a revision stay."""
-    return equi_join(levels, revisions, ["date"], "left").orderBy(F.desc_nulls_last("date"))
+    """Levels with their revisions; dates without a revision stay."""
+    return equi_join(levels, revisions, ["date"], "left")
+
+
+def newest_first(series: DataFrame) -> DataFrame:
+    """For reports: analyses take the series unsorted."""
+    return series.orderBy(F.desc_nulls_last("date"))
 
 
 def level_statistics(series: DataFrame, value: str = "level") -> DataFrame:

@@ -93,6 +93,9 @@ def test_wages_from_archives(spark, tmp_path):
         housing.read_wages(spark, paths, [2018, 2019])
     with pytest.raises(ValueError, match="2019_annual_singlefile.zip: only"):
         housing.read_wages(spark, paths, [2019, 2021], least_bytes=10_000)
+    landed = str(tmp_path / "wages")
+    first = bag(housing.wages_once(spark, landed, paths, [2019, 2021]))
+    assert first == bag(wages) == bag(housing.wages_once(spark, landed, "nowhere/*.zip", [2019, 2021]))
     (tmp_path / "2022_annual_singlefile.zip").write_bytes(b"broken")
     with pytest.raises(ValueError, match="2022_annual_singlefile.zip"):
         housing.read_wages(spark, paths, [2019, 2021])
@@ -178,7 +181,7 @@ def test_payroll_from_pages(spark):
     revisions = payroll.revisions_from_pages(spark.createDataFrame([(1, revisions_page)], "page_id int, html string"))
     assert bag(revisions) == [(dt.date(1979, 1, 1), 325.0, 243.0, -82.0)]
     combined = payroll.combine(levels, revisions)
-    assert [r.revision for r in combined.collect()] == [None, -82.0]
+    assert [r.revision for r in payroll.newest_first(combined).collect()] == [None, -82.0]
     assert {r.metric: r.value for r in payroll.revision_shares(combined).collect()}["Proportion of Negative Revisions"] == 1.0
     assert {r.statistic: r.value for r in payroll.level_statistics(combined).collect()}["Median"] == pytest.approx(88931.5)
 
