@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fieldbook.llm.tables import small_batches
 from fieldbook.llm.words import NOT_ALNUM, Splitter, buffer_of, pieces
 
 WINDOW = 13
@@ -142,6 +143,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_by
     window; a null item_id marks words hit but is not among the items; repeated items count once.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldbook.llm.tables import small_batches
 from fieldbook.llm.words import Splitter, Words, buffer_of, mixed, pieces
 
 NOT_LETTER = bytes(b for b in range(128) if not chr(b).isalpha())
@@ -242,6 +243,7 @@ def identified(docs: DataFrame, per_language: int = 4000) -> DataFrame:
     learned. The language is that of most words, of equals the first by name; the score is the share
     of all words that are labelled with it and tell languages apart. Repeated rows get equal results.
     """
+    small_batches(docs.sparkSession)
     model = fit(docs.where(~held_out(F.col("doc_id"))), per_language)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(F.struct("*").alias("row")).withColumn("found", identifier(None, shared)("row.text"))

@@ -67,7 +67,7 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 def counted(training: DataFrame, buckets: int) -> DataFrame:
     """One row a bucket: its tokens' keys, counts and shared leaves, packed, and sums over them.
 
-    A task sends each distinct token of about 4 MB of text once. Tokens are known by 64-bit keys.
+    A task sends each distinct token of about 2 MB of text once. Tokens are known by 64-bit keys.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -12,6 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from fieldbook.session import shared_folder
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT_BATCH, SMALL_BATCH = "67108864b", "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches for Python of a few megabytes, unless the session has a size of its own.
+
+    Spark's default of 64 MB is held more than once by the task and by its worker.
+    """
+    if spark.conf.get(_BATCH) == _DEFAULT_BATCH:
+        spark.conf.set(_BATCH, SMALL_BATCH)
+
+
 class Scratch:
     """Tables of one run of an operator under ``spark.checkpoint.dir``.
 
@@ -21,6 +34,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        small_batches(spark)
         self.spark = spark
         self.folder = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self.paths: dict[str, str] = {}

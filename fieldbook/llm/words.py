@@ -120,7 +120,7 @@ class Splitter:
         return Words(data, start, np.concatenate(ends), np.concatenate(keys), np.searchsorted(start, bounds))
 
 
-def pieces(texts: pa.Array, most: int = 4 << 20) -> list[tuple[int, int]]:
+def pieces(texts: pa.Array, most: int = 2 << 20) -> list[tuple[int, int]]:
     """Start and length of runs of texts of about ``most`` bytes each, and never less than one text."""
     _, bounds = buffer_of(texts)
     found, at = [], 0
