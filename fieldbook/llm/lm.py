@@ -270,11 +270,11 @@ def trained(training: DataFrame, model: Model, rounds: int = 2, stride: int = 16
 
         texts = training.select("text")
         changes, tasks = texts.mapInArrow(run, CHANGES), max(1, texts.rdd.getNumPartitions())
-        while tasks > 1:
+        while tasks > BLOCK:
             tasks = -(-tasks // BLOCK)
             changes = changes.groupBy("block", F.floor(F.col("task") / BLOCK).alias("part")).applyInArrow(_averaged, CHANGES)
         weights = model.weights.copy()
-        for row in changes.collect():
+        for row in changes.groupBy("block").applyInArrow(_averaged, CHANGES).collect():
             part = slice(row.block * BLOCK, min(ROWS, (row.block + 1) * BLOCK))
             weights[part] += np.frombuffer(row.change, np.float32).reshape(BLOCK, CLASSES)[:part.stop - part.start]
         model = replace(model, weights=weights)
