@@ -6,9 +6,10 @@ last pair, and the skips to the second and third before), then the leaf in the c
 features, by two small softmaxes; inside a shared leaf a token has its add-one share of the counts, and
 tokens never seen have one share in every leaf.
 
-Counts cover all training texts. Gradient steps run in the tasks on every ``stride``-th position of every
-training text, from shared weights; after a round, each feature's changes are averaged over tasks by how
-often a task met the feature.
+Counts cover all training texts. Gradient steps run in the tasks, from shared weights; after a round, each
+feature's changes are averaged over tasks by how often a task met the feature. A round steps on every
+``rounds``-th position of a text, each round from another one, so that the rounds together step once on
+every position of every training text.
 """
 
 from __future__ import annotations
@@ -203,8 +204,11 @@ def _step(model: Model, weights: np.ndarray, rows: np.ndarray, leaf: np.ndarray)
     return [(rows, z, of), (inner, y, member)], z[at, of] + y[at, member]
 
 
-def descend(model: Model, parts: Iterator[pa.Array], offset: int, stride: int, rate: float, batch: int = 1024, first_square: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """Weights after AdaGrad steps over a task's texts, less those before; how often each row was met."""
+def descend(model: Model, parts: Iterator[pa.Array], turn: int, rounds: int, rate: float, batch: int = 1024, first_square: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """Weights after AdaGrad steps over a task's texts, less those before; how often each row was met.
+
+    The steps are on the places of each text that leave ``turn`` by ``rounds``.
+    """
     weights, squares = model.weights.copy(), np.full(ROWS, first_square, np.float32)
     met = np.zeros(ROWS, np.int64)
     for texts in parts:
@@ -212,13 +216,15 @@ def descend(model: Model, parts: Iterator[pa.Array], offset: int, stride: int, r
             keys, last, first = tokens(texts.slice(a, n))
             leaf = model.leaves(keys, last)[0]
             rows = features(leaf, first)
-            chosen = np.arange((offset * stride // 2) % stride, len(leaf), stride)
+            place = np.arange(len(leaf)) - np.repeat(first[:-1], np.diff(first))
+            chosen = np.flatnonzero(place % rounds == turn)
             for b in range(0, len(chosen), batch):
                 at = chosen[b:b + batch]
                 for found, logs, right in _step(model, weights, rows[:, at], leaf[at])[0]:
                     pull = -np.exp(logs)
                     pull[np.arange(len(at)), right] += 1
-                    flat = found.ravel()
+                    # Narrow numbers are sorted by radix.
+                    flat = found.ravel().astype(np.min_scalar_type(ROWS))
                     order = np.argsort(flat, kind="stable")
                     ids = flat[order]
                     starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
@@ -246,9 +252,11 @@ def _averaged(group: pa.Table) -> pa.Table:
 CHANGES = "block int, task bigint, met binary, change binary"
 
 
-def trained(training: DataFrame, model: Model, rounds: int = 2, stride: int = 16, rate: float = 0.3) -> Model:
+def trained(training: DataFrame, model: Model, rounds: int = 2, rate: float = 0.3) -> Model:
     """The model after ``rounds`` of gradient steps, each from the shared weights of the round before.
 
+    Every position of ``training`` is stepped on in one of the rounds.
+
     A task reports its changes by blocks of rows; blocks are averaged 256 tasks at a time until one
     is left, so no task gathers more. The weights have a fixed size.
     """
@@ -258,7 +266,7 @@ def trained(training: DataFrame, model: Model, rounds: int = 2, stride: int = 16
 
         def run(batches: Iterator[pa.RecordBatch], turn=turn, shared=shared) -> Iterator[pa.RecordBatch]:
             task = TaskContext.get().partitionId()
-            change, met = descend(shared.value, (b.column("text") for b in batches), turn, stride, rate)
+            change, met = descend(shared.value, (b.column("text") for b in batches), turn, rounds, rate)
             for block in range(-(-ROWS // BLOCK)):
                 part = slice(block * BLOCK, (block + 1) * BLOCK)
                 if met[part].any():
@@ -296,7 +304,7 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.float64)])[first])
 
 
-def scored(docs: DataFrame, rounds: int = 2, stride: int = 16) -> DataFrame:
+def scored(docs: DataFrame, rounds: int = 2) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
 
     Columns used: doc_id, text. A null text is empty: its only token is the end. Repeated rows are
@@ -310,7 +318,7 @@ def scored(docs: DataFrame, rounds: int = 2, stride: int = 16) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"))
     training = rows.where("not held_out")
     counts = scratch.put(counted(training, buckets), "counts")
-    model = trained(training, prepared(counts), rounds, stride)
+    model = trained(training, prepared(counts), rounds)
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -272,3 +272,17 @@ def test_trust_and_distrust_spread(store):
     assert found[1].trust == pytest.approx(0.15, abs=1e-6) and found[2].trust == pytest.approx(0.15 * 0.85, abs=1e-6)
     assert found[5].distrust == pytest.approx(0.15 * 0.85, abs=1e-6) and found[6].distrust == pytest.approx(0.15 * 0.85**2, abs=1e-6)
     assert found[7].distrust == 0 and found[8].trust == 0
+
+
+def test_every_position_trains(store):
+    # Short texts of words of their own: whatever a step is left out for, the word before it has no weight.
+    texts = [(k, " ".join(f"w{k}x{j}" for j in range(k % 5 + 1))) for k in range(60)]
+    training = store(texts, "doc_id long, text string", files=2)
+    model = lm.trained(training, lm.prepared(lm.counted(training, 4)))
+    keys, last, first = lm.tokens(pa.array([t for _, t in texts]))
+    leaf = model.leaves(keys, last)[0]
+    rows = lm.features(leaf, first)
+    assert set(np.unique(rows[0])) >= set(leaf[keys != lm.END])
+    assert np.abs(model.weights[np.unique(rows)]).max(axis=1).min() > 0
+    met = sum(lm.descend(model, iter([pa.array([t for _, t in texts])]), turn, 2, 0.3)[1] for turn in range(2))
+    assert met.sum() == 6 * len(keys) and met[np.unique(rows[0])].min() > 0
