@@ -2,7 +2,8 @@
 
 Trust starts at hosts that rules mostly allow and follows links; distrust starts at hosts that rules mostly
 block and goes back along links, to those who link to them. Both are personalised PageRanks, computed
-together as joins and sums. Scores are whole numbers, so sums do not depend on their order.
+together as joins and sums that do not depend on the order of their rows. The graph's hosts are without user
+and port.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ RULES = (
     ("block", "net", "/es/"), ("block", "net", "/fr/"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//(?:[^/?#"'\s>@]*@)?([^/?#"'\s>:]+)"""
-# The score all seeds of a kind share.
-UNITS = 10**15
+LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 FOLLOW = 0.85
+# Scores are exact to so many binary digits; none that is handed on falls below the least one.
+DIGITS, LEAST = 40, 1e-270
+# Changes are summed in whole units of which all seeds of a kind have so many.
+UNITS = 10**15
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -33,6 +36,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*(/[^?#]*)", 1)
 
 
+def site(host: Column) -> Column:
+    """A host without user and port."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
+
+
 def fitting(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] = RULES) -> Column:
     """The longest rule that fits, as a struct of rule and verdict; null if none does."""
     found = []
@@ -44,17 +52,31 @@ def fitting(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
 
 def host_links(pages: DataFrame) -> DataFrame:
     """Links between unlike hosts: ``source``, ``target``, ``n``, from absolute links in ``html``."""
-    links = pages.select(F.col("host").alias("source"), F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("target"))
-    links = links.withColumn("target", F.translate("target", UPPER, LOWER))
-    return links.where("source <> '' and source <> target").groupBy("source", "target").agg(F.count("*").alias("n"))
+    links = pages.select(site(F.col("host")).alias("source"), F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("target"))
+    links = links.withColumn("target", site(F.translate("target", UPPER, LOWER)))
+    return links.where("source <> '' and target <> '' and source <> target").groupBy("source", "target").agg(F.count("*").alias("n"))
+
+
+def summed(scores: DataFrame) -> DataFrame:
+    """Sums of positive ``score`` by kind and host, the same for any order of rows.
+
+    Scores of one binary order of magnitude are summed as whole numbers, then these sums from the least up.
+    """
+    power = F.floor(F.log2("score"))
+    whole = F.floor(F.col("score") * F.pow(F.lit(2.0), DIGITS - F.col("power"))).cast("decimal(20,0)")
+    like = scores.withColumn("power", power).groupBy("kind", "host", "power").agg(F.sum(whole).alias("whole"))
+    like = like.select("kind", "host", (F.col("whole").cast("double") * F.pow(F.lit(2.0), F.col("power") - DIGITS)).alias("score"))
+    upward = F.aggregate(F.array_sort(F.collect_list("score")), F.lit(0.0), lambda total, score: total + score)
+    return like.groupBy("kind", "host").agg(upward.alias("score"))
 
 
-def spread(scratch: Scratch, links: DataFrame, seeds: DataFrame, rounds: int = 40, still: float = 1e-6) -> DataFrame:
+def spread(scratch: Scratch, links: DataFrame, seeds: DataFrame, still: float = 1e-6) -> DataFrame:
     """``host``, ``trust`` and ``distrust`` (shares of one), for all hosts that get either.
 
     ``seeds`` has ``host`` and ``kind``, trust or distrust. A host hands on ``FOLLOW`` of its score by the
-    number of links: trust to those it links to, distrust to those that link to it. Rounds end when
-    less than ``still`` of a kind's units moves. Every round is written.
+    number of links: trust to those it links to, distrust to those that link to it. Rounds end when they
+    reach no further host and no more than ``still`` of all scores moves, so every host that links
+    lead to has a score above 0. Every round is written.
     """
     out = links.groupBy("source").agg(F.sum("n").alias("all"))
     into = links.groupBy("target").agg(F.sum("n").alias("all"))
@@ -62,20 +84,21 @@ def spread(scratch: Scratch, links: DataFrame, seeds: DataFrame, rounds: int = 4
     back = links.join(into, "target").select(F.lit("distrust").alias("kind"), F.col("target").alias("host"), F.col("source").alias("to"), (F.col("n") / F.col("all")).alias("share"))
     arcs = scratch.put(forward.union(back), "arcs")
     sizes = seeds.groupBy("kind").agg(F.count("*").alias("seeds"))
-    start = scratch.put(seeds.join(sizes, "kind").select("kind", "host", F.floor(F.lit(float(UNITS)) / F.col("seeds")).alias("score")), "start")
-    base = start.select("kind", "host", F.floor(F.col("score") * (1 - FOLLOW)).alias("score"))
+    start = scratch.put(seeds.join(sizes, "kind").select("kind", "host", (1 / F.col("seeds")).alias("score")), "start")
+    base = start.select("kind", "host", (F.col("score") * (1 - FOLLOW)).alias("score"))
     state = scratch.put(start, "state")
-    for _ in range(rounds):
-        moved = state.join(arcs, ["kind", "host"]).select("kind", F.col("to").alias("host"), F.floor(F.col("score") * F.col("share") * FOLLOW).alias("score"))
-        following = base.union(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        before, state = state, scratch.put(following, "state")
-        change = (
-            state.select("kind", "host", "score").union(before.select("kind", "host", -F.col("score")))
-            .groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("change")).agg(F.sum("change")).first()[0]
-        )
-        if (change or 0) <= still * UNITS:
+    while True:
+        handed = F.greatest(F.col("score") * F.col("share") * FOLLOW, F.lit(LEAST))
+        moved = state.join(arcs, ["kind", "host"]).select("kind", F.col("to").alias("host"), handed.alias("score"))
+        before, state = state, scratch.put(summed(base.union(moved)), "state")
+        # A round keeps all hosts of the one before.
+        both = state.select("kind", "host", "score").union(before.select("kind", "host", -F.col("score"))).groupBy("kind", "host")
+        each = both.agg(F.floor(F.abs(F.sum("score")) * UNITS).alias("change"), F.count("*").alias("times"))
+        change, further = each.agg(F.sum("change"), F.count_if(F.col("times") == 1)).first()
+        scratch.keep_only(*scratch.paths)
+        if not further and (change or 0) <= still * UNITS:
             break
-    share = lambda kind: (F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0)) / UNITS).alias(kind)
+    share = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
     return state.groupBy("host").agg(share("trust"), share("distrust"))
 
 
@@ -85,15 +108,15 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, rati
     Columns used: page_id, url, html. A rule decides the pages it fits. A host is a seed of trust if
     rules allow more than half of its pages, of distrust if they block more than half. Other pages
     are blocked if their host's distrust is above 0 and at least ``ratio`` times its trust, else
-    allowed; that includes urls without a host. A null html has no links. Repeated rows count as
-    often as they occur.
+    allowed; that includes urls without a host. Seeds and links are of hosts without user and port; ``host``
+    has both. A null html has no links. Repeated rows count as often as they occur.
     """
     scratch = Scratch(pages.sparkSession, "linkgraph")
     host, path = host_and_path(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"), "html")
     ruled = scratch.put(parts.select("page_id", "host", "path", fitting(F.col("host"), F.col("path"), rules).alias("fit")), "ruled")
     links = scratch.put(host_links(parts), "links")
-    hosts = ruled.where("host <> ''").groupBy("host").agg(
+    hosts = ruled.select(site(F.col("host")).alias("host"), "fit").where("host <> ''").groupBy("host").agg(
         F.count("*").alias("pages"), F.count_if(F.col("fit.verdict") == "allow").alias("allowed"), F.count_if(F.col("fit.verdict") == "block").alias("blocked")
     )
     kind = F.when(2 * F.col("allowed") > F.col("pages"), F.lit("trust")).when(2 * F.col("blocked") > F.col("pages"), F.lit("distrust"))
@@ -102,7 +125,8 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, rati
     scratch.keep_only("ruled", "scores")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     by_graph = F.when((distrust > 0) & (distrust >= ratio * trust), F.lit("block")).otherwise(F.lit("allow"))
-    return ruled.join(scores, "host", "left").select(
+    scores = scores.withColumnRenamed("host", "site")
+    return ruled.join(scores, site(F.col("host")) == F.col("site"), "left").select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", by_graph).alias("verdict"),
         trust.alias("trust"), distrust.alias("distrust"),
     )

@@ -286,3 +286,26 @@ def test_every_position_trains(store):
     assert np.abs(model.weights[np.unique(rows)]).max(axis=1).min() > 0
     met = sum(lm.descend(model, iter([pa.array([t for _, t in texts])]), turn, 2, 0.3)[1] for turn in range(2))
     assert met.sum() == 6 * len(keys) and met[np.unique(rows[0])].min() > 0
+
+
+def test_distrust_reaches_every_host(store):
+    link = lambda host, n=1: f'<a href="http://{host}/x">x</a>' * n
+    chain = [(k, f"http://c{k}.org/", link(f"c{k - 1}.org" if k > 1 else "bad.net")) for k in range(1, 46)]
+    # Each link of the quiet ones is one of ten thousand; the fifth has under a 1e-15th of all distrust.
+    faint = [(100 + k, f"http://quiet{k}.org/", link(f"quiet{k - 1}.org" if k else "bad.net")) for k in range(5)]
+    loud = [(200 + k, f"http://loud{k}.org/", link(f"quiet{k - 1}.org" if k else "bad.net", 9999)) for k in range(5)]
+    ports = [(300, "http://shop.org:8080/", link("me@BAD.net:81")), (301, "http://mall.org/", link("shop.org:8080")), (302, "ftp://u@old.org/", link("mall.org"))]
+    pages = [(0, "http://bad.net/es/", ""), *chain, *faint, *loud, *ports, (400, "http://alone.org/", link("alone.org:8"))]
+    found = {r.page_id: r for r in linkgraph.judged(store(pages, "page_id long, url string, html string", 1)).collect()}
+    assert {k for k, r in found.items() if r.verdict == "allow"} == {400} and found[300].host == "shop.org:8080"
+    own = 0.15 / (1 + 1 + 9999 + 1)
+    assert found[45].distrust == pytest.approx(own * 0.85**45, rel=1e-6)
+    assert found[104].distrust == pytest.approx(own * 0.85**5 * 1e-4**4, rel=1e-6)
+
+
+def test_distrust_on_a_cycle(store):
+    link = lambda host: f'<a href="http://{host}/x">x</a>'
+    pages = [(0, "http://bad.net/es/", link("ring.org")), (1, "http://ring.org/", link("bad.net"))]
+    found = {r.page_id: r for r in linkgraph.judged(store(pages, "page_id long, url string, html string", 1)).collect()}
+    assert found[0].distrust == pytest.approx(0.15 / (1 - 0.85**2), abs=1e-5)
+    assert found[1].distrust == pytest.approx(0.15 * 0.85 / (1 - 0.85**2), abs=1e-5)
