@@ -67,19 +67,22 @@ def without_repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     Keys of at least ``least`` code points in two documents or more stay only in the smallest doc_id
     that holds them. A null or empty text is one empty line. Rows of one doc_id are one document,
     as are all rows without a doc_id, which comes after all others. Hashes are counted as one row
-    a hash and task before the shuffle; the join that gives every document its repeated hashes has
-    narrow rows, and Spark splits the partitions of a very common line.
+    a hash and task before the shuffle; the join that gives every row its repeated hashes has
+    narrow rows, and Spark splits the partitions of a very common line. The hashes to drop are
+    collected by doc_id and hash of the text, so a set has no more than one text's lines; texts of
+    one doc_id that share a hash only get lines that the whole document loses.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    lines = scratch.put(docs.select("doc_id", F.explode(_hashes(least)("text")).alias("line")), "lines")
+    own = F.xxhash64("text")
+    lines = scratch.put(docs.select("doc_id", own.alias("own"), F.explode(_hashes(least)("text")).alias("line")), "lines")
     holders = lines.groupBy("line").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count_if(F.col("doc_id").isNull()).alias("unnamed")
     )
     repeated = holders.where("first < last or (first is not null and unnamed > 0)").select("line", "first")
     drops = (
         lines.join(repeated, "line").where(~F.col("doc_id").eqNullSafe(F.col("first")))
-        .groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("line").alias("lines"))
+        .groupBy(F.col("doc_id").alias("id"), F.col("own").alias("part")).agg(F.collect_set("line").alias("lines"))
     )
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    joined = rows.join(drops, rows["doc_id"].eqNullSafe(drops["id"]), "left")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", own.alias("own"))
+    joined = rows.join(drops, rows["doc_id"].eqNullSafe(drops["id"]) & (rows["own"] == drops["part"]), "left")
     return joined.select("row", _rebuilt(least)("text", "lines").alias("kept"))

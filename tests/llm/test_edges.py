@@ -72,6 +72,17 @@ def test_lines(documents, no_documents):
     assert rows(lines.without_repeated_lines(no_documents)) == []
 
 
+def test_lines_to_drop_are_the_rows_own(store, monkeypatch):
+    line = "a line of document number {}".format
+    named = [(k, line(k)) for k in range(40)]
+    docs = store([*named, *((None, f"{line(k)}\nonly here, {k}") for k in range(40)), (50, line(1)), (50, line(2)), (50, line(2)), (None, None)], "doc_id long, text string")
+    found = by_id(rows(lines.without_repeated_lines(docs).select("row.doc_id", "kept.*")))
+    assert sorted(r["text"] for r in found[None]) == sorted(["", *(f"only here, {k}" for k in range(40))])
+    assert [r["text"] for r in found[50]] == [""] * 3 and all(found[k][0]["n_dropped"] == 0 for k in range(40))
+    monkeypatch.setattr(lines, "_rebuilt", lambda least: lambda text, drops: F.size(drops))
+    assert lines.without_repeated_lines(docs).agg(F.max("kept")).first()[0] == 1
+
+
 def test_contamination(documents, no_documents, store):
     items = [(1, "cat and the dog went to see a very old house near that river"), (1, "The DOG, went"), (None, "sont dans la"), (2, None), (3, ""), (4, "?!")]
     benchmark = store(items, "item_id long, text string")
