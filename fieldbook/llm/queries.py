@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldbook.llm import contamination, jaccard, language, lines, linkgraph, lm, mixing, sharding, vafile, warc
+from fieldbook.llm import contamination, jaccard, language, lines, linkgraph, lm, mixing, repeats, sharding, vafile, warc
 from fieldbook.llm.tables import table
 
 
@@ -83,9 +83,15 @@ def op10_vector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
 
+def op11_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 200 bytes that occur again."""
+    done = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("row.doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.text", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_spans, op2_mix_sources, op3_shard_by_splitters, op4_zip_packages, op5_link_graph, op6_drop_repeated_lines, op7_benchmark_windows,
-    op8_hashed_maxent, op9_shingle_components, op10_vector_cells,
+    op8_hashed_maxent, op9_shingle_components, op10_vector_cells, op11_run_length_repeats,
 )}
 
 SQL: dict[str, str] = {
@@ -192,5 +198,29 @@ SELECT page_id, size AS payload_bytes, digest AS payload_digest,
        CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM rows LEFT JOIN groups USING (digest)
+""",
+    "op11_run_length_repeats": """
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), windows AS (
+  SELECT row_id, pos, md5(b[pos:pos + 199]) AS h FROM (SELECT row_id, b, unnest(range(1, octet_length(b) - 198)) AS pos FROM texts)
+), repeated AS (
+  SELECT h FROM windows GROUP BY h HAVING count(*) > 1
+), starts AS (
+  SELECT row_id, pos, coalesce(pos - lag(pos) OVER (PARTITION BY row_id ORDER BY pos) > 200, TRUE) AS fresh FROM windows SEMI JOIN repeated USING (h)
+), numbered AS (
+  SELECT row_id, pos, sum(CAST(fresh AS INT)) OVER (PARTITION BY row_id ORDER BY pos) AS span FROM starts
+), spans AS (
+  SELECT row_id, min(pos) AS lo, max(pos) + 199 AS hi FROM numbered GROUP BY row_id, span
+), gaps AS (
+  SELECT row_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY row_id ORDER BY lo), 0) AS before FROM spans
+), cuts AS (
+  SELECT row_id, count(*) AS n_spans, sum(hi - lo + 1) AS n_removed,
+         string_agg(hex(b[before + 1:lo - 1]), '' ORDER BY lo) || hex(b[max(hi) + 1:octet_length(b)]) AS kept
+  FROM gaps JOIN texts USING (row_id) GROUP BY row_id, b
+)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(unhex(kept), b)) AS kept_sha256
+FROM texts LEFT JOIN cuts USING (row_id)
 """,
 }
