@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldbook.llm import contamination, jaccard, language, lines, linkgraph, lm, mixing, repeats, sharding, vafile, warc
+from fieldbook.llm import contamination, jaccard, language, lines, linkgraph, lm, mixing, repeats, sharding, vafile, warc, whitening
 from fieldbook.llm.tables import table
 
 
@@ -89,9 +89,18 @@ def op11_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.text", 256).alias("kept_sha256"))
 
 
+def op12_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every complete vector, one row a component."""
+    done = whitening.whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "pair")
+    return done.select("row.vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "pair.whitened", "pair.explained", "identity_error"
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_spans, op2_mix_sources, op3_shard_by_splitters, op4_zip_packages, op5_link_graph, op6_drop_repeated_lines, op7_benchmark_windows,
-    op8_hashed_maxent, op9_shingle_components, op10_vector_cells, op11_run_length_repeats,
+    op8_hashed_maxent, op9_shingle_components, op10_vector_cells, op11_run_length_repeats, op12_lanczos_whitening,
 )}
 
 SQL: dict[str, str] = {
