@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldbook.llm import contamination, jaccard, language, lines, linkgraph, lm, mixing, repeats, sharding, vafile, warc, whitening
+from fieldbook.llm import contamination, jaccard, language, lines, linkgraph, lm, mixing, repeats, sharding, turns, vafile, warc, whitening
 from fieldbook.llm.tables import table
 
 
@@ -98,9 +98,15 @@ def op12_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_rollup_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    return turns.prefix_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_spans, op2_mix_sources, op3_shard_by_splitters, op4_zip_packages, op5_link_graph, op6_drop_repeated_lines, op7_benchmark_windows,
     op8_hashed_maxent, op9_shingle_components, op10_vector_cells, op11_run_length_repeats, op12_lanczos_whitening,
+    op13_rollup_prefix_trie,
 )}
 
 SQL: dict[str, str] = {
@@ -231,5 +237,51 @@ WITH texts AS (
 SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(unhex(kept), b)) AS kept_sha256
 FROM texts LEFT JOIN cuts USING (row_id)
+""",
+    "op13_rollup_prefix_trie": """
+WITH bits AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, pos, strlen(text) AS bytes, md5(CAST(strlen(role) AS VARCHAR) || ':' || role || text) AS id FROM turns
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+             lambda c, b: xor(crc[xor(c & 255, b) + 1], c >> 8))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM ids), bits
+), held AS (
+  SELECT conv_id AS base, count(*) AS has FROM ids GROUP BY conv_id
+), plan AS (
+  SELECT conv_id, base, h, least(h, coalesce(has, 0)) AS taken FROM convs LEFT JOIN held USING (base)
+), rebuilt AS (
+  SELECT p.conv_id, i.pos, id, bytes FROM plan p JOIN ids i ON i.conv_id = p.base AND i.pos < p.taken
+  UNION ALL
+  SELECT p.conv_id, i.pos - p.h + p.taken, id, bytes FROM plan p JOIN ids i ON i.conv_id = p.conv_id AND i.pos >= p.h
+), lists AS (
+  SELECT conv_id, coalesce(list(id ORDER BY pos) FILTER (id IS NOT NULL), []) AS ids, coalesce(list(bytes ORDER BY pos) FILTER (id IS NOT NULL), []) AS sizes
+  FROM plan LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+), prefixes AS (
+  SELECT conv_id, ids, sizes, depth, array_to_string(ids[1:depth], ' ') AS key, len(ids) = depth AS ends
+  FROM (SELECT conv_id, ids, sizes, unnest(range(0, len(ids) + 1)) AS depth FROM lists)
+), nodes AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(ids[1:depth]) AS path,
+         (count(*) - 1) * coalesce(any_value(sizes[depth]), 0) AS saved, CASE WHEN depth > 0 THEN array_to_string(any_value(ids[1:depth - 1]), ' ') END AS parent,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY key, depth
+), children AS (
+  SELECT parent AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent
+), above AS (
+  SELECT array_to_string(path[1:up], ' ') AS key, saved, n_children IS NULL AS leaf
+  FROM (SELECT n.*, n_children, unnest(range(0, depth + 1)) AS up FROM nodes n LEFT JOIN children USING (key))
+), summed AS (
+  SELECT key, sum(saved) AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM above GROUP BY key
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN summed s USING (key) LEFT JOIN children c USING (key) LEFT JOIN nodes p ON n.parent = p.key
 """,
 }
