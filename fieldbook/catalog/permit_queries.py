@@ -62,13 +62,20 @@ def lookup_names(t: Tables) -> DataFrame:
     return permits.named_hotspots(s.permit_rows(t), NAMES, [1997])
 
 
-@query(_permits("""
-SELECT n, round_even(r, 3) AS correlation, round_even(r * r, 3) AS r_squared FROM (
-  SELECT count(*) AS n, corr(a, b) AS r FROM (
+# Two-sided, from the grid; beyond its end the rest is 0 to more digits than are compared.
+_P_VALUE = """coalesce((SELECT 2 * (1 - (a.cdf + (b.cdf - a.cdf) * (abs(a.statistic) - a.x) / 0.0005)) FROM area a JOIN area b ON b.k = a.k + 1
+                 WHERE abs(a.statistic) >= a.x AND abs(a.statistic) < b.x), 0.0)"""
+
+
+@query(_permits(f"""
+, fit AS (SELECT count(*) AS n, corr(a, b) AS r FROM (
     SELECT start_year, count(*) FILTER (zipcode = '10010') AS a, count(*) FILTER (borough = 'BUILDING') AS b
-    FROM permits WHERE start_year <> 1997 GROUP BY start_year) WHERE a > 0 AND b > 0)"""))
+    FROM permits WHERE start_year <> 1997 GROUP BY start_year) WHERE a > 0 AND b > 0),
+test AS (SELECT r * sqrt((n - 2) / (1 - r * r)) AS statistic, CAST(n - 2 AS DOUBLE) AS t_df FROM fit),
+{T_GRID}
+SELECT n, round_even(r, 3) AS correlation, round_even(r * r, 3) AS r_squared, round_even({_P_VALUE}, 4) AS p_value FROM fit"""))
 def zip_against_borough(t: Tables) -> DataFrame:
-    return permits.zip_against_borough(s.permit_rows(t), "10010", "BUILDING", [1997]).drop("p_value")
+    return permits.zip_against_borough(s.permit_rows(t), "10010", "BUILDING", [1997])
 
 
 @query(_permits("SELECT count(DISTINCT zipcode) + max(CAST(zipcode IS NULL AS INTEGER)) AS zipcodes FROM permits"))
@@ -167,6 +174,18 @@ def decile_concentration(t: Tables) -> DataFrame:
     return rounded(permits.decile_concentration(totals, "total", "total_value", "num_customers"), 2, "total_value")
 
 
+@query(_permits("""
+, totals AS (SELECT zipcode, count(*) AS productions FROM permits GROUP BY zipcode),
+edges AS (SELECT quantile_cont(productions, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS edges FROM totals)
+SELECT category_number, concat('Decile ', CAST(category_number AS VARCHAR)) AS category, CAST(sum(productions) AS BIGINT) AS total_productions,
+       count(*) AS num_zip_codes
+FROM (SELECT productions, CAST(greatest(1, len(list_filter(edges, lambda e: e < productions))) AS INTEGER) AS category_number FROM totals, edges)
+GROUP BY ALL"""))
+def zip_deciles(t: Tables) -> DataFrame:
+    """Permits per zip code in bins of zip codes."""
+    return permits.zip_deciles(s.permit_rows(t))
+
+
 _TOP_PARTS = """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_partkey, count(*) AS n FROM lineitem GROUP BY year(l_shipdate), l_partkey
 QUALIFY rank() OVER (PARTITION BY year(l_shipdate) ORDER BY count(*) DESC) <= 10"""
@@ -220,10 +239,13 @@ def correlation_years(t: Tables) -> DataFrame:
     return rounded(rounded(line, 8, "slope", "correlation", "r_squared"), 4, "intercept")
 
 
-@query("""
-SELECT n, round(slope, 6) AS slope, round(intercept, 4) AS intercept, round(r_squared, 8) AS r_squared FROM (
+@query(f"""
+WITH fit AS (
   SELECT count(*) AS n, regr_slope(l_extendedprice, l_quantity) AS slope, regr_intercept(l_extendedprice, l_quantity) AS intercept,
-         regr_r2(l_extendedprice, l_quantity) AS r_squared FROM lineitem)""")
+         regr_r2(l_extendedprice, l_quantity) AS r_squared FROM lineitem),
+test AS (SELECT sqrt(r_squared * (n - 2) / (1 - r_squared)) AS statistic, CAST(n - 2 AS DOUBLE) AS t_df FROM fit),
+{T_GRID}
+SELECT n, round(slope, 6) AS slope, round(intercept, 4) AS intercept, round(r_squared, 8) AS r_squared, round({_P_VALUE}, 5) AS p_value FROM fit""")
 def fit_line(t: Tables) -> DataFrame:
-    line = ols_line(t.lineitem, "l_extendedprice", "l_quantity").select("n", "slope", "intercept", "r_squared")
-    return rounded(rounded(rounded(line, 6, "slope"), 4, "intercept"), 8, "r_squared")
+    line = ols_line(t.lineitem, "l_extendedprice", "l_quantity").select("n", "slope", "intercept", "r_squared", "p_value")
+    return rounded(rounded(rounded(rounded(line, 6, "slope"), 4, "intercept"), 8, "r_squared"), 5, "p_value")

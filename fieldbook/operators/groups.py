@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldbook.operators.joins import equi_join
+from fieldbook.operators.joins import equi_join, read_by_all
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:
@@ -19,14 +19,16 @@ def with_group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> D
     return equi_join(df, per_group, list(keys))
 
 
-def with_group_sizes(df: DataFrame, keys: Sequence[str], sizes: Mapping[str, Sequence[str]]) -> DataFrame:
+def with_group_sizes(df: DataFrame, keys: Sequence[str], sizes: Mapping[str, Sequence[str]], once: bool = False) -> DataFrame:
     """Add the sizes of several nested groupings as columns.
 
     ``keys`` is the finest grouping; ``sizes`` names a column for each subset of it. One
     count at the finest level feeds all of them. Coarser sizes are summed from it, map-side first,
-    and joined back to it, so a coarse key with most of the finest groups stays spread.
+    and joined back to it, so a coarse key with most of the finest groups stays spread. With ``once`` the count
+    and the join back share one evaluation of the rows, which pays where they are costly to make.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    df, always = read_by_all(df) if once else (df, F.lit(True))
+    counts = df.groupBy(*keys).agg(F.count_if(always).alias("__n"))
     finest = counts
     for name, subset in sizes.items():
         if set(subset) == set(keys):

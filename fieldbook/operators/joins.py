@@ -57,14 +57,15 @@ def suffix_join(left: DataFrame, right: DataFrame, keys: Sequence[Key], suffixes
     )
 
 
-def natural_full_join(left: DataFrame, right: DataFrame, right_unique: bool = False) -> DataFrame:
+def natural_full_join(left: DataFrame, right: DataFrame, right_unique: bool = False, spread: bool = False) -> DataFrame:
     """Full outer join on all shared columns, NULL matching NULL.
 
     Written as matched rows plus the unmatched rows of each side: Spark can split a hot key
     in inner and anti joins but not in a full outer join. The anti joins look up distinct
     keys, so copies of a key collapse before the shuffle. If the right side is known to hold
     each key once or rarely more, only the left side can be hot and one left join replaces two
-    of the parts.
+    of the parts. If keys are ``spread`` on both sides, as where they name a row, no split is needed
+    and one full outer join reads each side once.
     """
     shared = [c for c in left.columns if c in right.columns]
     if not shared:
@@ -73,6 +74,11 @@ def natural_full_join(left: DataFrame, right: DataFrame, right_unique: bool = Fa
     differing = [c for c in shared if types[0][c] != types[1][c]]
     if differing:
         raise ValueError(f"types differ in {differing}")
+    if spread:
+        other = {c: f"__right_{i}" for i, c in enumerate(shared)}
+        match = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(r)) for c, r in other.items()])
+        joined = left.join(right.withColumnsRenamed(other), match, "full")
+        return joined.withColumns({c: F.coalesce(c, r) for c, r in other.items()}).drop(*other.values())
     if right_unique:
         kept = equi_join(left, right, shared, "left")
     else:
@@ -82,6 +88,16 @@ def natural_full_join(left: DataFrame, right: DataFrame, right_unique: bool = Fa
     return kept.unionByName(right_only, allowMissingColumns=True)
 
 
+def read_by_all(df: DataFrame) -> tuple[DataFrame, Column]:
+    """For a frame that two branches of one plan read: the frame dealt anew, and a condition that is always true.
+
+    A branch that reads fewer columns than the other would be planned, and so evaluated, on its own. With the
+    condition it reads all of them; then both branches share one exchange, and what lies below it runs once.
+    Spark evens out the sizes of the exchange's partitions at run time, whatever the keys.
+    """
+    return df.hint("rebalance"), F.xxhash64(*df.columns).bitwiseOR(F.lit(1)) != 0
+
+
 def lookup(df: DataFrame, key: str, names: Mapping[str, str], new: str) -> DataFrame:
     """Name for a key from a literal dictionary; NULL if it has none."""
     table = literal_table(df.sparkSession, names.items(), f"__key:string, {new}:string")

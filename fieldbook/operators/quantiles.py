@@ -1,10 +1,11 @@
 """Exact quantiles without gathering a group in one task, and quantile bins.
 
-Spark's exact ``percentile`` holds all distinct values of a group in one buffer. Here a
-mergeable sketch first brackets every wanted rank, a second pass counts the values below
-and inside each bracket, and a third cuts the few values inside into slices, of which only
-those holding the rank are ordered. If a bracket misses its rank it is widened to the
-smallest or largest value and sliced like any other, so the sketch decides the speed, never the result.
+Spark's exact ``percentile`` holds all distinct values of a group in one buffer. Here the rows are read
+once, into a histogram of (value, copies) that every later pass reads from the same shuffle. The
+wanted ranks are then found digit by digit: the first digit of a value is its binary exponent with
+the sign, the second its place among slices between the smallest and largest value of that digit. Both
+grow with the value, so counts per digit tell which digit holds a rank, and only the values of such a digit are
+looked at again. In the end the few values that share both digits with a rank are ordered.
 """
 
 from __future__ import annotations
@@ -16,114 +17,91 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fieldbook.functions.nulls import as_col
 from fieldbook.operators.joins import equi_join
 
-SKETCH_ACCURACY = 10_000
-_MARGIN = 2.0 / SKETCH_ACCURACY
-SLICES = 4096
+SLICES = 1 << 14
 
 
-def _attach(df: DataFrame, small: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-    """Add a one-row-per-group table to the rows as a struct column."""
-    packed = F.struct(*[c for c in small.columns if c not in by]).alias(name)
-    if by:
-        return equi_join(df, small.select(*by, packed), list(by))
-    return df.withColumn(name, small.select(packed).scalar())
+def histogram(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Every value of each group once, as double, with its number of rows; missing values are left out.
+
+    Copies of a value collapse in the tasks that read them, so a very common value is one row a task.
+    """
+    rows = df.select(*by, F.col(value).cast("double").alias("__x")).where(F.col("__x").isNotNull())
+    return rows.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__copies"))
+
+
+def exponent(x: Column) -> Column:
+    """A whole number that never falls as x grows: the binary exponent, negative for values below 0."""
+    size = F.abs(x)
+    finite = F.floor(F.log2(size)) + 2000
+    by_size = F.when(F.isnan(x), 5000).when(size == float("inf"), 4000).when(size == 0, 0).otherwise(finite)
+    return F.when(x < 0, -by_size).otherwise(by_size).cast("int")
+
+
+def slice_of(x: Column, low: Column, high: Column) -> Column:
+    """The place of x among equal slices between low and high; it never falls as x grows."""
+    place = F.floor((x - low) / (high - low) * SLICES)
+    return F.when((low < high) & ~F.isnan(high) & (F.abs(high - low) < float("inf")), F.least(place, F.lit(SLICES - 1))).otherwise(0).cast("int")
+
+
+def _holding(counted: DataFrame, groups: Sequence[str], digit: str, probs: Sequence[float]) -> DataFrame:
+    """Of (groups, digit) with __size, __start and __n: the digits that hold a wanted rank, and the rank of their first value.
+
+    __start is the first rank of the group as a whole.
+    """
+    upto = F.sum("__size").over(Window.partitionBy(*groups).orderBy(digit).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.withColumn("__start", F.col("__start") + upto - F.col("__size"))
+    low = [F.floor((F.col("__n") - 1) * float(p)) for p in probs]
+    held = [(F.col("__start") <= rank + 1) & (rank < F.col("__start") + F.col("__size")) for rank in low]
+    any_held = held[0]
+    for one in held[1:]:
+        any_held |= one
+    return placed.where(any_held)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
                     name: str = "quantiles") -> DataFrame:
     """One row per group: array of quantiles, linearly interpolated between order values.
 
-    Groups without any value have no row; without grouping there is then no row at all.
+    Groups without any value have no row; without grouping there is then no row at all. NaN is the largest value.
     """
     by = list(by)
     x = F.col("__x")
-    rows = df.select(*by, F.col(value).cast("double").alias("__x")).where(x.isNotNull())
-
-    margins = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-_MARGIN, _MARGIN)]
-    sketch = rows.groupBy(*by).agg(
-        F.count(x).alias("n"),
-        F.percentile_approx(x, margins, SKETCH_ACCURACY).alias("edges"),
-        F.min(x).alias("least"),
-        F.max(x).alias("most"),
-    )
-
-    # Second pass: values below and up to the ends of each bracket. The sketch values ride
-    # along as plain maxima, so the aggregate keeps fixed-width buffers.
-    s = F.col("__s")
-    lows = [s["edges"][2 * i] for i in range(len(probs))]
-    highs = [s["edges"][2 * i + 1] for i in range(len(probs))]
-    counted = _attach(rows, sketch, by, "__s").groupBy(*by).agg(
-        F.max(s["n"]).alias("n"),
-        F.max(s["least"]).alias("least"),
-        F.max(s["most"]).alias("most"),
-        F.array(*[F.max(low) for low in lows]).alias("low"),
-        F.array(*[F.max(high) for high in highs]).alias("high"),
-        F.array(*[F.count_if(x < low) for low in lows]).alias("below"),
-        F.array(*[F.count_if(x <= high) for high in highs]).alias("upto"),
-    )
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-
-    def bracket(i: Column) -> Column:
-        rank = F.floor((F.col("n") - 1) * F.get(wanted, i))
-        below, upto = F.get("below", i), F.get("upto", i)
-        low_fits, high_fits = below <= rank, (upto >= rank + 2) | (upto == F.col("n"))
-        return F.struct(
-            i.alias("i"),
-            F.when(low_fits, below).otherwise(0).alias("skip"),
-            F.when(low_fits, F.get("low", i)).otherwise(F.col("least")).alias("low"),
-            F.when(high_fits, F.get("high", i)).otherwise(F.col("most")).alias("high"),
-        )
-
-    every = F.array(*[F.lit(i) for i in range(len(probs))])
-    brackets = counted.select(*by, "n", F.transform(every, bracket).alias("ranges"))
-
-    # Third pass: only values inside a bracket, copies of a value collapsed to a count, each
-    # bracket cut into slices by value.
-    r, one = F.col("__r"), F.col("__one")
-    low, high = one["low"], one["high"]
-    position = F.floor((x - low) / (high - low) * SLICES).cast("int")
-    sliced = (low > float("-inf")) & (high < float("inf")) & (low < high)
-    inside = (
-        _attach(rows, brackets, by, "__r")
-        .select(*by, "__x", r["n"].alias("__n"), F.explode(
-            F.filter(r["ranges"], lambda one: x.between(one["low"], one["high"]))
-        ).alias("__one"))
-        .select(*by, one["i"].alias("__i"), one["skip"].alias("__skip"), "__n", "__x",
-                F.when(sliced, F.least(position, F.lit(SLICES - 1))).otherwise(0).alias("__slice"))
-        .groupBy(*by, "__i", "__skip", "__n", "__slice", "__x").agg(F.count(F.lit(1)).alias("__copies"))
-    )
-    place = (F.col("__n") - 1) * F.get(wanted, F.col("__i"))
-    rank, upto = F.floor(place), F.col("__upto")
-
-    # Only the slices that hold a wanted rank are ordered.
-    ends = (
-        inside.groupBy(*by, "__i", "__skip", "__n", "__slice").agg(F.sum("__copies").alias("__size"))
-        .withColumn("__upto", F.col("__skip") + F.sum("__size").over(
-            Window.partitionBy(*by, "__i").orderBy("__slice")
-        ))
-    )
-    start = upto - F.col("__size")
-    holding = ends.where((upto > rank) & (start <= rank + 1)).select(*by, "__i", "__slice", start.alias("__start"))
-    running = F.sum("__copies").over(Window.partitionBy(*by, "__i", "__slice").orderBy("__x"))
-    found = (
-        equi_join(inside, holding, [*by, "__i", "__slice"])
-        .withColumns({"__upto": F.col("__start") + running, "__rank": rank, "__part": place - rank})
-        .groupBy(*by, "__i")
-        .agg(
-            F.min(F.when(upto > F.col("__rank"), x)).alias("__v0"),
-            F.min(F.when(upto > F.col("__rank") + 1, x)).alias("__v1"),
-            F.max("__part").alias("__part"),
-        )
-    )
-    v0 = F.col("__v0")
-    point = v0 + F.coalesce(F.col("__v1") - v0, F.lit(0.0)) * F.col("__part")
-    if len(probs) == 1:
-        return found.select(*by, F.array(point).alias(name))
-    return (
-        found.groupBy(*by)
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("__i").alias("i"), point.alias("q")))).alias("__q"))
-        .select(*by, F.transform("__q", lambda q: q["q"]).alias(name))
+    values = histogram(df, value, by).withColumn("__d1", exponent(x))
+    ends = F.min(x).alias("__low"), F.max(x).alias("__high")
+
+    # First digit: a few thousand counts a group at most.
+    first = values.groupBy(*by, "__d1").agg(F.sum("__copies").alias("__size"), *ends)
+    total = F.sum("__size").over(Window.partitionBy(*by))
+    first = _holding(first.withColumns({"__n": total, "__start": F.lit(0)}), by, "__d1", probs)
+
+    # Second digit, of the values with such a first one.
+    inside = equi_join(values, first.drop("__size"), [*by, "__d1"])
+    inside = inside.withColumn("__d2", slice_of(x, F.col("__low"), F.col("__high"))).drop("__low", "__high")
+    second = inside.groupBy(*by, "__d1", "__d2").agg(
+        F.sum("__copies").alias("__size"), F.max("__start").alias("__start"), F.max("__n").alias("__n")
     )
+    second = _holding(second, [*by, "__d1"], "__d2", probs).select(*by, "__d1", "__d2", F.col("__start").alias("__from"))
+
+    # The values that are left are ordered, each pair of digits on its own.
+    running = F.sum("__copies").over(Window.partitionBy(*by, "__d1", "__d2").orderBy("__x"))
+    placed = equi_join(inside, second, [*by, "__d1", "__d2"]).withColumn("__upto", F.col("__from") + running)
+    found = []
+    for i, p in enumerate(probs):
+        rank = F.floor((F.col("__n") - 1) * float(p))
+        for step in (0, 1):
+            here = (F.col("__upto") > rank + step) & (F.col("__upto") - F.col("__copies") <= rank + step)
+            found.append(F.max(F.when(here, x)).alias(f"__v{i}_{step}"))
+    points = placed.groupBy(*by).agg(F.max("__n").alias("__n"), *found)
+
+    def point(i: int, p: float) -> Column:
+        place = (F.col("__n") - 1) * float(p)
+        low, high = F.col(f"__v{i}_0"), F.col(f"__v{i}_1")
+        # Equal neighbours need no step between them, which infinities could not give.
+        step = F.when(low == high, 0.0).otherwise((high - low) * (place - F.floor(place)))
+        return F.when(place == F.floor(place), low).otherwise(low + F.coalesce(step, F.lit(0.0)))
+
+    done = points.select(*by, F.array(*[point(i, p) for i, p in enumerate(probs)]).alias(name), "__n")
+    return done.where(F.col("__n") > 0).drop("__n")
 
 
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:

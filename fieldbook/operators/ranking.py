@@ -88,9 +88,30 @@ def top_one_per_group(df: DataFrame, keys: Sequence[str], by: str, tie_break: Se
     return first_per_key(df, keys, [F.desc_nulls_last(by), *[F.asc_nulls_last(c) for c in tie_break]])
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    """Running position in each group; for lists already cut to their top rows."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+RANGES = 256
+
+
+def with_position(df: DataFrame, keys: Sequence[str], by: str, item: str, name: str, ascending: bool = False, ranges: int = RANGES) -> DataFrame:
+    """Running position in each group by value, equal values by item; missing values and items come last.
+
+    For lists cut to their top values, of which any number of rows may tie: ties are never ordered in
+    one task. Items are cut into ranges at bounds drawn from the items themselves, by their hash, so that
+    every reader of the plan sees the same ones. A row's position is the number of rows at better
+    values and in earlier ranges, from one count a value and range, and its place in its own range. Bounds that
+    miss a crowded stretch cost time, never correctness.
+    """
+    x, size = F.col(item), 1 << 20
+    share = df.agg((F.lit(float(size * ranges)) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("share")).scalar()
+    drawn = df.where(x.isNotNull() & (F.pmod(F.xxhash64(item), F.lit(size)) < share)).select(item).distinct()
+    bounds = drawn.agg(F.sort_array(F.collect_list(item)).alias("bounds")).scalar()
+    place = F.when(x.isNull(), F.size("__bounds")).otherwise(F.size(F.filter("__bounds", lambda b: b <= x)))
+    rows = df.withColumn("__bounds", bounds).withColumn("__range", place).drop("__bounds")
+
+    groups = [*keys, by, "__range"]
+    upto = F.sum("__size").over(Window.partitionBy(*keys).orderBy(_order(by, ascending), "__range").rowsBetween(Window.unboundedPreceding, 0))
+    starts = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("__size")).withColumn("__start", upto - F.col("__size")).drop("__size")
+    within = F.row_number().over(Window.partitionBy(*groups).orderBy(F.asc_nulls_last(item)))
+    return equi_join(rows, starts, groups).withColumn(name, (F.col("__start") + within).cast("int")).drop("__start", "__range")
 
 
 def at_extremes(df: DataFrame, by: str) -> DataFrame:

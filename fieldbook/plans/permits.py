@@ -70,16 +70,16 @@ def clean_permits(newest: DataFrame, mid: DataFrame, oldest: DataFrame, oldest_o
     """One row per permit and zip code with the zip code's group sizes.
 
     Time range and event type are join keys of both natural joins, so they are filtered
-    before the joins instead of after them. The plan is lazy and writes nothing.
+    before the joins instead of after them. The plan is lazy and writes nothing; each file is read once.
     """
     def wanted(df: DataFrame) -> DataFrame:
         return df.where(between_midnights("startdatetime", first, last) & (F.col("eventtype") == event_type))
 
-    # A file lists a permit once, so no event is hot.
-    recent = natural_full_join(wanted(harmonise_newest(newest)), wanted(mid.withColumnsRenamed(_LISTS)), right_unique=True)
+    # A file lists a permit once, so no event is hot and one full outer join does.
+    recent = natural_full_join(wanted(harmonise_newest(newest)), wanted(mid.withColumnsRenamed(_LISTS)), spread=True)
     # The first row of an event is chosen among all its rows, hence before the filter.
     early = wanted(harmonise_oldest(oldest, oldest_order))
-    combined = natural_full_join(recent.drop("parkingheld"), early, right_unique=True)
+    combined = natural_full_join(recent.drop("parkingheld"), early, spread=True)
     rows = split_to_rows(combined, "zipcodes").withColumns({
         "zipcode": trim_space("zipcodes"),
         "start_year": F.year("startdatetime"),
@@ -98,7 +98,7 @@ def with_zip_counts(rows: DataFrame) -> DataFrame:
         "zip_count_by_year": keys[:2],
         "zip_count_by_month": keys,
         "zip_count_total": keys[:1],
-    })
+    }, once=True)
 
 
 def per_year(permits: DataFrame) -> DataFrame:
@@ -119,15 +119,15 @@ def decile_concentration(totals: DataFrame, value: str, name: str = "total_produ
     )
 
 
-def zip_deciles(permits: DataFrame) -> DataFrame:
+def zip_deciles(permits: DataFrame, bins: int = 10) -> DataFrame:
     totals = permits.groupBy("zipcode").agg(F.count(F.lit(1)).alias("productions"))
-    return decile_concentration(totals, "productions")
+    return decile_concentration(totals, "productions", bins=bins)
 
 
 def top_per_year(counts: DataFrame, year: str, item: str, value: str, n: int = 10) -> DataFrame:
     """Top items of each year, ties kept, with their running position."""
     top = top_n_per_group(counts, [year], value, n)
-    return with_position(top, [year], [F.desc_nulls_last(value), F.asc_nulls_last(item)], "rank")
+    return with_position(top, [year], value, item, "rank")
 
 
 def hotspots(permits: DataFrame, n: int = 10) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -24,8 +25,8 @@ def bag(df):
 def test_natural_full_join_matches_null(spark):
     left = spark.createDataFrame([(1, "x"), (None, "y")], "k int, a string")
     right = spark.createDataFrame([(1, "p"), (None, "q")], "k int, b string")
-    for unique in (False, True):
-        got = joins.natural_full_join(left, right, right_unique=unique).select("k", "a", "b")
+    for how in ({}, {"right_unique": True}, {"spread": True}):
+        got = joins.natural_full_join(left, right, **how).select("k", "a", "b")
         assert bag(got) == sorted([(1, "x", "p"), (None, "y", "q")], key=str)
 
 
@@ -58,7 +59,28 @@ def test_natural_full_join_against_brute_force(spark):
     want = [(*p[:2], p[2], q[2]) for p in l for q in r if p[:2] == q[:2]]
     want += [(*p, None) for p in l if not any(p[:2] == q[:2] for q in r)]
     want += [(*q[:2], None, q[2]) for q in r if not any(p[:2] == q[:2] for p in l)]
-    assert bag(joins.natural_full_join(left, right).select("a", "b", "x", "y")) == sorted(want, key=str)
+    for spread in (False, True):
+        assert bag(joins.natural_full_join(left, right, spread=spread).select("a", "b", "x", "y")) == sorted(want, key=str)
+
+
+def test_positions_against_brute_force(spark):
+    rng = random.Random(8)
+    data = [(rng.choice([1, 2, None]), rng.choice([5, 5, 5, 5, 7, None]), f"{k:04d}" if k % 50 else None) for k in range(600)]
+    df = spark.createDataFrame(data, "y int, n int, z string")
+    for ascending in (False, True):
+        got = ranking.with_position(df, ["y"], "n", "z", "rank", ascending, ranges=8).collect()
+        assert len(got) == 600
+        for y in (1, 2, None):
+            rows = sorted((r for r in got if r.y == y), key=lambda r: r["rank"])
+            assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
+            order = [(r.n is None, (r.n or 0) * (1 if ascending else -1), r.z is None, r.z or "") for r in rows]
+            assert order == sorted(order)
+
+
+def test_group_sizes_from_one_evaluation(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("a"), (F.col("id") % 10).alias("b"), "id")
+    sizes = {"n": ["a", "b"], "n_a": ["a"]}
+    assert bag(groups.with_group_sizes(df, ["a", "b"], sizes, once=True)) == bag(groups.with_group_sizes(df, ["a", "b"], sizes))
 
 
 def test_suffix_join_and_lookup(spark):
@@ -181,13 +203,12 @@ def test_exact_quantiles(spark, name):
     np.testing.assert_allclose(got, np.quantile(values, probs), rtol=1e-12, atol=1e-12)
 
 
-def test_exact_quantiles_per_group_with_a_wrong_sketch(spark, monkeypatch):
-    """Brackets that miss their ranks only cost time: the result stays exact."""
+def test_exact_quantiles_per_group_with_few_slices(spark, monkeypatch):
+    """Digits that tell little only cost time: the result stays exact."""
     rng = random.Random(2)
     data = [(g, rng.gauss(0, 1)) for g in ["hot"] * 3000 + ["a", "b", None] * 50] + [("a", None), ("none", None)]
     df = spark.createDataFrame(data, "g string, x double")
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 3)
-    monkeypatch.setattr(quantiles, "_MARGIN", 0.0)
+    monkeypatch.setattr(quantiles, "SLICES", 2)
     got = {r.g: r.q for r in quantiles.exact_quantiles(df, "x", [0.1, 0.5, 0.9], ["g"], "q").collect()}
     assert set(got) == {"hot", "a", "b", None}
     for g, q in got.items():
@@ -195,6 +216,18 @@ def test_exact_quantiles_per_group_with_a_wrong_sketch(spark, monkeypatch):
         np.testing.assert_allclose(q, want, rtol=1e-12)
 
 
+def test_digits_never_fall(spark):
+    rng = random.Random(3)
+    values = [rng.choice([-1, 1]) * 10 ** rng.uniform(-320, 308) for _ in range(2000)] + [0.0, 5e-324, -5e-324, 1.0, 2.0, 4.0, 2.0**52 - 1, 2.0**52]
+    values += [math.nextafter(2.0**k, side) for k in range(-1000, 1000, 37) for side in (0, math.inf)] + [math.inf, -math.inf, math.nan]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    digits = [r.d for r in df.select("x", quantiles.exponent(F.col("x")).alias("d")).orderBy("x").collect()]
+    assert digits == sorted(digits) and len(set(digits)) > 1000
+    low, high = F.lit(-3.7), F.lit(11.3)
+    places = [r.d for r in spark.range(5000).select(((F.col("id") * 0.003) - 3.7).alias("x")).select("x", quantiles.slice_of(F.col("x"), low, high).alias("d")).orderBy("x").collect()]
+    assert places == sorted(places) and places[0] == 0 and places[-1] < quantiles.SLICES
+
+
 def test_bins(spark):
     df = spark.createDataFrame([(i,) for i in range(1, 12)], "x int")
     got = quantiles.with_quantile_bin(df, "x", 10, "Decile", "category").orderBy("x").collect()

@@ -1,7 +1,6 @@
-import math
-
 """Plan shapes that decide whether a query survives far more data and hot keys."""
 
+import math
 import re
 
 import __spark_entry__ as entry
@@ -9,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldbook.functions.geometry import EDGES_TYPE, ring_edges
-from fieldbook.operators import groups, joins, ranking, spatial
+from fieldbook.operators import groups, joins, quantiles, ranking, spatial
 
 # Windows in one task: only over tables with one row per calendar period.
 CALENDAR_WINDOWS = {"mom_change", "hotspot_overlap", "top10_overlap"}
@@ -129,3 +128,39 @@ def test_one_large_polygon_is_cut_by_many_tasks(spark):
     inside = spatial.points_within(points, circle, "x", "y", 20.0).count()
     radius = F.sqrt(F.pow(F.col("x") - 1000, 2) + F.pow(F.col("y") - 1000, 2))
     assert inside == points.where(radius < 900 - 1e-3).count()
+
+
+def scans(plan):
+    return len(re.findall(r"FileScan", plan))
+
+
+def test_permit_files_are_read_once(spark, tmp_path):
+    """One full outer join per file, and one evaluation of their rows for counts and rows."""
+    keys = "eventid long, eventtype string, startdatetime timestamp, zipcodes string"
+    for name, extra in (("a", "x string"), ("b", "y string"), ("c", "z string")):
+        spark.createDataFrame([(k, "t", None, "1, 2", name) for k in range(50)], f"{keys}, {extra}").write.parquet(str(tmp_path / name))
+    a, b, c = (spark.read.parquet(str(tmp_path / n)) for n in "abc")
+    joined = joins.natural_full_join(joins.natural_full_join(a, b, spread=True), c, spread=True)
+    sized = groups.with_group_sizes(joined, ["zipcodes", "eventtype"], {"n": ["zipcodes", "eventtype"], "n_zip": ["zipcodes"]}, once=True)
+    rows, plan = final_plan(sized)
+    assert len(rows) == 50 and {r.n_zip for r in rows} == {50} and {r.z for r in rows} == {"c"}
+    assert scans(plan) == 3
+
+
+def test_quantiles_read_their_input_once(spark, tmp_path):
+    spark.range(5000).select((F.col("id") % 7).alias("g"), F.sqrt("id").alias("x")).write.parquet(str(tmp_path / "q"))
+    df = spark.read.parquet(str(tmp_path / "q"))
+    assert scans(final_plan(quantiles.exact_quantiles(df, "x", [0.1, 0.5, 0.9]))[1]) == 1
+    assert scans(final_plan(quantiles.exact_median(df, "x", ["g"]))[1]) == 1
+    totals = df.groupBy("g").agg(F.sum("x").alias("total"))
+    # The breaks are a subquery; what is left in the plan above it reads nothing of its own.
+    assert scans(final_plan(quantiles.with_quantile_bin(totals, "total", 5, "Bin", "bin"))[1]) <= 1
+
+
+def test_ties_are_ordered_in_many_tasks(spark):
+    """A year of equal counts: no task orders more than a few ranges of its items."""
+    df = spark.range(40_000).select(F.lit(2020).alias("year"), F.lit(1).alias("n"), F.format_string("item-%08d", "id").alias("item"))
+    positions = ranking.with_position(df, ["year"], "n", "item", "rank", ranges=64)
+    parts = [r["count"] for r in positions.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert len(parts) >= 4 and max(parts) < 40_000 / 2
+    assert positions.where("rank <> cast(substring(item, 6, 8) as int) + 1").count() == 0
