@@ -9,7 +9,7 @@ from fieldbook.catalog.registry import T_GRID, Tables, query, rounded, with_view
 from fieldbook.operators.groups import with_first_value, with_group_sizes, with_group_values
 from fieldbook.operators.joins import natural_full_join as full_join
 from fieldbook.operators.periods import mean_growth, overlap_with_previous, yearly
-from fieldbook.operators.ranking import first_per_key as first_rows
+from fieldbook.operators.ranking import first_per_key as first_rows, top_n_per_group
 from fieldbook.operators.reshape import split_to_rows as split_rows
 from fieldbook.operators.stats import ols_line
 from fieldbook.plans import permits
@@ -204,7 +204,7 @@ FROM top a LEFT JOIN top b ON b.year = a.year - 1 AND b.l_partkey = a.l_partkey
 WHERE a.year > (SELECT min(year) FROM top) GROUP BY a.year""", top=_TOP_PARTS))
 def top10_overlap(t: Tables) -> DataFrame:
     counts = yearly(t.lineitem.withColumn("year", F.year("l_shipdate")), "year", ["l_partkey"], "n")
-    return overlap_with_previous(permits.top_per_year(counts, "year", "l_partkey", "n"), "year", "l_partkey", 10)
+    return overlap_with_previous(top_n_per_group(counts, ["year"], "n", 10), "year", "l_partkey", 10)
 
 
 @query("""

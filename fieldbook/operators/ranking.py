@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldbook.operators.joins import equi_join
+from fieldbook.operators.joins import equi_join, read_by_all
 
 
 def _order(by: str, ascending: bool) -> Column:
@@ -101,15 +101,17 @@ def with_position(df: DataFrame, keys: Sequence[str], by: str, item: str, name:
     miss a crowded stretch cost time, never correctness.
     """
     x, size = F.col(item), 1 << 20
-    share = df.agg((F.lit(float(size * ranges)) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("share")).scalar()
-    drawn = df.where(x.isNotNull() & (F.pmod(F.xxhash64(item), F.lit(size)) < share)).select(item).distinct()
-    bounds = drawn.agg(F.sort_array(F.collect_list(item)).alias("bounds")).scalar()
+    # Four readers of the list: its size, the bounds, the counts and the rows.
+    df, always = read_by_all(df)
+    share = df.agg((F.lit(float(size * ranges)) / F.greatest(F.count_if(always), F.lit(1))).alias("share")).scalar()
+    drawn = F.when(always & (F.pmod(F.xxhash64(item), F.lit(size)) < share), x)
+    bounds = df.agg(F.sort_array(F.collect_set(drawn)).alias("bounds")).scalar()
     place = F.when(x.isNull(), F.size("__bounds")).otherwise(F.size(F.filter("__bounds", lambda b: b <= x)))
     rows = df.withColumn("__bounds", bounds).withColumn("__range", place).drop("__bounds")
 
     groups = [*keys, by, "__range"]
     upto = F.sum("__size").over(Window.partitionBy(*keys).orderBy(_order(by, ascending), "__range").rowsBetween(Window.unboundedPreceding, 0))
-    starts = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("__size")).withColumn("__start", upto - F.col("__size")).drop("__size")
+    starts = rows.groupBy(*groups).agg(F.count_if(always).alias("__size")).withColumn("__start", upto - F.col("__size")).drop("__size")
     within = F.row_number().over(Window.partitionBy(*groups).orderBy(F.asc_nulls_last(item)))
     return equi_join(rows, starts, groups).withColumn(name, (F.col("__start") + within).cast("int")).drop("__start", "__range")
 

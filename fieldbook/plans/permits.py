@@ -136,7 +136,8 @@ def hotspots(permits: DataFrame, n: int = 10) -> DataFrame:
 
 
 def hotspot_overlap(permits: DataFrame, n: int = 10) -> DataFrame:
-    return overlap_with_previous(hotspots(permits, n), "start_year", "zipcode", n)
+    counts = yearly(permits, "start_year", ["zipcode"], "productions")
+    return overlap_with_previous(top_n_per_group(counts, ["start_year"], "productions", n), "start_year", "zipcode", n)
 
 
 def named_hotspots(permits: DataFrame, names: Mapping[str, str] = ZIP_NAMES,
