@@ -40,16 +40,16 @@ _LISTS = {"communityboard_s": "communityboards", "policeprecinct_s": "policeprec
 _PARTS = ["start_year", "start_month", "start_day", "end_year", "end_month", "end_day"]
 
 
-def read_newest(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_tidy(spark, path, schemas.PERMITS_NEWEST, extra=True)
+def read_newest(spark: SparkSession, path: str, warn: bool = False) -> DataFrame:
+    return read_csv_tidy(spark, path, schemas.PERMITS_NEWEST, extra=True, warn=warn)
 
 
-def read_mid(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.PERMITS_MID, extra=True)
+def read_mid(spark: SparkSession, path: str, warn: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.PERMITS_MID, extra=True, warn=warn)
 
 
-def read_oldest(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.PERMITS_OLDEST, extra=True)
+def read_oldest(spark: SparkSession, path: str, warn: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.PERMITS_OLDEST, extra=True, warn=warn)
 
 
 def harmonise_newest(newest: DataFrame) -> DataFrame:

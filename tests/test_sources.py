@@ -147,10 +147,31 @@ def test_columns_by_header_name(spark, tmp_path):
     assert bag(delimited.read_tsv(spark, str(tmp_path / "a.tsv"), schema, extra=True)) == [("US", dt.date(2024, 1, 7), 1, "TV")]
     with pytest.raises(ValueError, match="season"):
         delimited.read_tsv(spark, str(tmp_path / "a.tsv"), schema + ", season string")
-    # A second file of another column order cannot be read along by position.
+    # A second file of another column order is read by its own header.
     write(tmp_path / "b.tsv", "country\tCategory\tweek\trank\nUS\tTV\t2024-01-07\t1\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        delimited.read_tsv(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")], schema).collect()
+    both = delimited.read_tsv(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")], schema)
+    assert bag(both) == [("US", dt.date(2024, 1, 7), 1)] * 2
+
+
+def test_files_of_unlike_column_order_in_one_call(spark, tmp_path):
+    write(tmp_path / "a.csv", "x,y,z\n1,a,p\n")
+    write(tmp_path / "b.csv", "\ufeffy,x\nb,2\n")
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as f:
+        f.write('"y",more,x\nc,m,bad\nd,m,4\n')
+    write(tmp_path / "empty.csv", "")
+    folder = str(tmp_path)
+    assert set(delimited.headers(spark, folder)) == {("x", "y", "z"), ("y", "x"), ("y", "more", "x")}
+    assert bag(delimited.read_csv(spark, folder, "x int, y string")) == sorted([(1, "a"), (2, "b"), (None, "c"), (4, "d")], key=str)
+    wide = delimited.read_csv(spark, folder, "x int", extra=True)
+    assert set(wide.columns) == {"x", "y", "z", "more"} and wide.where("z is null and more is null").count() == 1
+    with pytest.warns(UserWarning, match="c.csv.gz: 1 lines"):
+        delimited.read_csv(spark, folder, "x int, y string", warn=True)
+    counts = delimited.count_malformed(spark, folder, "x int").collect()
+    assert [(r.file.rsplit("/", 1)[1], r.lines) for r in counts] == [("c.csv.gz", 1)]
+    with pytest.raises(ValueError, match="z"):
+        delimited.read_csv(spark, folder, "x int, z string")
+    with pytest.raises(ValueError, match="no header"):
+        delimited.read_csv(spark, str(tmp_path / "empty.csv"), "x int")
 
 
 def test_cut_off_gzip_and_malformed_cells(spark, tmp_path):
