@@ -47,15 +47,16 @@ def quantiles(rows: DataFrame, group: Column, bytes_of: Column, pieces: Column,
 
 
 def shard(
-    docs: DataFrame, key: Column, tie: Column, size: Column, shards: int = 8, ranges: int = 512, points: int = 32
+    docs: DataFrame, key: Column, tie: Column, size: Column, shards: int = 8, ranges: int = 512, points: int = 32, range_bytes: int = 128 << 20
 ) -> DataFrame:
     """``docs`` as the struct ``row``, with ``size``, ``shard`` and ``slot`` (gapless from 0 in the shard).
 
     ``key`` and ``tie`` are longs. Rows go to shards in the order of key, tie and place in the table, so
     rows of equal key lie side by side: a bound inside a key moves to the key's first row unless the
     key fills more than a whole range. A shard's bytes differ from an equal share by about one range
-    (a 64th of a shard), or by a row if that is larger. Null keys count as one key. An empty table
-    gives an empty one; identical rows take neighbouring slots.
+    (a 64th of a shard or less), or by a row if that is larger. There are ``ranges`` ranges, and more where each
+    would pass ``range_bytes``; what is ordered in a range are keys, the rows join their numbers afterwards. Null keys count as one
+    key. An empty table gives an empty one; identical rows take neighbouring slots; very long texts only weigh more.
     """
     scratch = Scratch(docs.sparkSession, "shard")
     place = F.struct(
@@ -64,12 +65,19 @@ def shard(
     rows = scratch.put(docs.select(F.struct("*").alias("row"), place.alias("key"), size.cast("long").alias("size")), "rows")
     narrow = rows.select("key", "size")
     whole = narrow.agg(F.sum("size")).first()[0] or 1
-    drawn = quantiles(narrow, F.lit(0), F.lit(whole), F.lit(ranges), points).orderBy("key").collect()
-    found = [tuple(r.key) for r in drawn]
-    spans = {a for (a, _, _), (b, _, _) in zip(found, found[1:]) if a == b}
-    bounds = sorted({k if k[0] in spans else (k[0], LEAST, LEAST) for k in found})
+    ranges = max(ranges, -(-whole // range_bytes))
     fair = whole / ranges
-    for _ in range(6):
+    found = {tuple(r.key) for r in quantiles(narrow, F.lit(0), F.lit(whole), F.lit(ranges), points).collect()}
+    bounds: list[tuple[int, int, int]] = []
+    while True:
+        # A bound inside a key moves to the key's first row, unless two bounds lie in it.
+        drawn = sorted(found)
+        spans = {a for (a, _, _), (b, _, _) in zip(drawn, drawn[1:]) if a == b}
+        grown = sorted({*bounds, *(k if k[0] in spans else (k[0], LEAST, LEAST) for k in drawn)})
+        if bounds and len(grown) == len(bounds):
+            break
+        # The counts are always those of the last bounds.
+        bounds = grown
         counted = narrow.groupBy(range_of(F.col("key"), bounds).alias("range")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
         counted = scratch.put(counted, "ranges")
         overfull = counted.where((F.col("bytes") > 2 * fair) & (F.col("rows") > 1)).withColumn("pieces", F.ceil(F.col("bytes") / fair))
@@ -80,10 +88,9 @@ def shard(
         inside = range_of(F.col("key"), bounds)
         of = lambda name: F.create_map(*[F.lit(x) for r in crowded.values() for x in (r.range, r[name])])[inside]
         more = quantiles(narrow.where(inside.isin(list(crowded))), inside, of("bytes"), of("pieces"), points)
-        grown = sorted({*bounds, *(tuple(r.key) for r in more.collect())})
-        if len(grown) == len(bounds):
+        found |= {tuple(r.key) for r in more.collect()}
+        if not found:
             break
-        bounds = grown
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.coalesce(F.sum("bytes").over(before), F.lit(0)) + F.col("bytes") / 2
     placed = counted.withColumn("shard", F.least(F.floor(middle * shards / whole), F.lit(shards - 1)).cast("int"))
@@ -91,10 +98,11 @@ def shard(
     placed = scratch.put(
         placed.select("range", "shard", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start")).coalesce(1), "placed"
     )
-    scratch.keep_only("rows", "placed")
     within = F.row_number().over(Window.partitionBy("range").orderBy("key")) - 1
-    ranged = rows.withColumn("range", range_of(F.col("key"), bounds)).withColumn("within", within)
-    return ranged.join(placed, "range").select("row", "size", "shard", (F.col("start") + F.col("within")).alias("slot"))
+    ranged = narrow.select("key", range_of(F.col("key"), bounds).alias("range")).withColumn("within", within)
+    numbers = ranged.join(placed, "range").select(F.col("key.c").alias("id"), "shard", (F.col("start") + F.col("within")).alias("slot"))
+    scratch.keep_only("rows", "placed")
+    return rows.join(numbers, F.col("key.c") == F.col("id")).select("row", "size", "shard", "slot")
 
 
 def by_text(docs: DataFrame, shards: int = 8) -> DataFrame:
