@@ -107,18 +107,19 @@ class Model:
 def fit(rows: DataFrame, per_language: int = 4000) -> Model | None:
     """A model from ``text`` and ``lang``; rows without either are left out. None if no row is left.
 
-    Bounded sample: languages of more than ``per_language`` rows are thinned to about so many by a
-    number hashed from the text, so the choice needs no shuffle of texts. What reaches the driver is
+    Bounded sample: a text counts once a language, however many copies it has, and languages of more than
+    ``per_language`` texts are thinned to about so many by a number hashed from the text. So copies neither fill the sample nor
+    leave a language without one, and only hashes are shuffled to count. What reaches the driver is
     a table of fixed height with one column a language.
     """
-    named = rows.where("text is not null and lang is not null and lang <> ''").select("text", "lang")
-    sizes = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}
+    named = rows.where("text is not null and lang is not null and lang <> ''").select("text", "lang", F.xxhash64("text").alias("hash"))
+    sizes = {r["lang"]: r["count"] for r in named.select("lang", "hash").distinct().groupBy("lang").count().collect()}
     if not sizes:
         return None
     languages = sorted(sizes)
     share = F.create_map(*[F.lit(x) for name in languages for x in (name, min(1.0, per_language / sizes[name]))])
     number = F.shiftrightunsigned(F.xxhash64("text", F.lit("fit")), 11) / float(1 << 53)
-    sample = named.where(number < share[F.col("lang")])
+    sample = named.where(number < share[F.col("lang")]).dropDuplicates(["lang", "hash"]).select("text", "lang")
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
