@@ -332,20 +332,22 @@ def grouped(docs: DataFrame) -> DataFrame:
     Columns used: doc_id, text. component_id is the smallest doc_id of all texts reachable by links, and
     null only if all of them lack one. A text without words is linked with nothing: class is null and
     component_id its own doc_id. Rows are the unit, so repeated rows and ids are in one component only
-    through their texts.
+    through their texts. Very long texts are hashed in steps; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     buckets = 2 * partitions(spark)
     rows = scratch.put(profiles(docs, buckets), "profiles")
-    nodes = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.max("shared").alias("shared"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
+    nodes = rows.where("n > 0").groupBy("digest").agg(first, F.max("n").alias("n"), F.max("shared").alias("shared"))
+    nodes = nodes.select("digest", F.col("first.doc_id").alias("first_id"), F.col("first.key").alias("first_key"), "n", "shared")
     near = scratch.put(
-        nodes.where("4 * shared >= 3 * n").select("digest", "first_id", F.monotonically_increasing_id().alias("node")), "near"
+        nodes.where("4 * shared >= 3 * n").select("digest", "first_id", "first_key", F.monotonically_increasing_id().alias("node")), "near"
     )
-    # Of a node's equal texts any row will do; the digest picks the right row of a repeated doc_id.
-    listed = maybe_among(near, F.xxhash64("first_id"))
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(listed(F.xxhash64("doc_id")))
-    some = some.join(near, F.col("doc_id").eqNullSafe(F.col("first_id")))
+    # Of a node's equal texts any row will do. It is found by doc_id and text: rows without doc_id, or of one, are told apart.
+    listed = maybe_among(near, F.xxhash64("first_id", "first_key"))
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text").where(listed(F.xxhash64("doc_id", "key")))
+    some = some.join(near, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -309,3 +309,42 @@ def test_distrust_on_a_cycle(store):
     found = {r.page_id: r for r in linkgraph.judged(store(pages, "page_id long, url string, html string", 1)).collect()}
     assert found[0].distrust == pytest.approx(0.15 / (1 - 0.85**2), abs=1e-5)
     assert found[1].distrust == pytest.approx(0.15 * 0.85 / (1 - 0.85**2), abs=1e-5)
+
+
+def test_copies_neither_fill_nor_empty_the_language_sample(store):
+    """Three languages of one text in thousands of copies, and one of few rows: each is learned and told."""
+    said = {"fr": "le chat et le chien sont dans la maison", "it": "il gatto e il cane sono nella casa", "de": "die Katze und der Hund sind im Haus"}
+    rows = [(k, text, lang) for k, (lang, text) in enumerate(list(said.items()) * 3000)]
+    rows += [(10_000 + k, f"the cat and the dog number {k} are in the house", "en") for k in range(300)]
+    docs = store(rows, "doc_id long, text string, lang string")
+    found = language.identified(docs, per_language=50)
+    wrong = found.where("found.lang <> row.lang").count()
+    assert found.count() == len(rows) and wrong == 0
+
+
+def test_one_bound_a_pass_keeps_every_row(store, monkeypatch):
+    """However many passes the bounds take, every row gets a shard and a slot of its own."""
+    whole = sharding.quantiles
+    calls = []
+
+    def one(*args):
+        calls.append(1)
+        return whole(*args).orderBy("key").limit(1)
+
+    monkeypatch.setattr(sharding, "quantiles", one)
+    docs = store([(k, f"text {k % 40} " * (1 + k % 7)) for k in range(400)], "doc_id long, text string")
+    found = sharding.shard(docs, F.xxhash64("text"), F.xxhash64("doc_id"), sharding.text_bytes(F.col("text")), shards=4, ranges=12, points=8)
+    rows = found.select("row.doc_id", "size", "shard", "slot").collect()
+    assert len(calls) > 7 and sorted(r.doc_id for r in rows) == list(range(400))
+    for shard in range(4):
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_near_copies_without_ids_take_linear_work(store):
+    """Rows without doc_id meet their own text only: 3,000 pairs of near copies, each pair one component."""
+    words = lambda k: [f"w{k}x{j}" for j in range(60)]
+    rows = [(None, " ".join(words(k) + ["end"] * e)) for k in range(3000) for e in (0, 1)]
+    found = jaccard.grouped(store(rows, "doc_id long, text string"))
+    sizes = [r["count"] for r in found.groupBy("class").count().collect()]
+    assert len(sizes) == 3000 and set(sizes) == {2}
