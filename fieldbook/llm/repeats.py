@@ -302,7 +302,8 @@ def without_repeats(docs: DataFrame, least: int = LEAST, index_bytes: int = INDE
     listed = scratch.put(
         texts.mapInArrow(_listed(least), "h1 long, h2 long, place int, anchor long"), "anchors"
     )
-    again = listed.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written, so that the join sorts two plain shuffles and Spark can split those of a very common anchor.
+    again = scratch.put(listed.groupBy("anchor").count().where("count > 1").select("anchor"), "again")
     places = listed.join(again, "anchor").groupBy("h1", "h2").agg(F.collect_set("place").alias("places"))
     uses = scratch.put(
         texts.join(places, ["h1", "h2"]).mapInArrow(
