@@ -153,23 +153,28 @@ def prefix_trie(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     starts = scratch.put(convs.join(sizes, "conv_id", "left").select("conv_id", F.coalesce("n", F.lit(0)).alias("n"), F.lit(_ROOT).alias("start")), "starts")
     total = starts.agg(F.count("*"), F.min("conv_id"), F.max("n")).first()
     ids, sizes = _names("t", width), _names("b", width)
-    ends = [starts.where("n = 0").select("conv_id", F.col("start").alias("end"))]
+    ends = starts.where("n = 0").select("conv_id", F.col("start").alias("end"))
     nodes = []
+
+    def written(name: str, one: DataFrame) -> DataFrame:
+        """The tables of this name of all blocks as one scan, so that plans do not grow with the blocks."""
+        return scratch.spark.read.schema(one.schema).parquet(*(scratch.paths[f"{name}{block}"] for block in range(len(nodes))))
+
     # From the first block on: nodes, ends, and the keys at which the next block starts.
     for block in range(-(-(total[2] or 0) // width)):
         inside = F.least(F.col("n") - block * width, F.lit(width)).cast("int")
         here = starts.where(F.col("n") > block * width).join(cut.where(F.col("block") == block), "conv_id")
-        here = scratch.put(here.select("conv_id", "n", "start", _key(width, inside).alias("end"), *ids, *sizes), f"rows{block}")
-        ends.append(here.where(F.col("n") <= (block + 1) * width).select("conv_id", "end"))
+        here = scratch.put(here.select("conv_id", "n", "start", F.lit(block).alias("block"), _key(width, inside).alias("end"), *ids, *sizes), f"rows{block}")
         starts = here.where(F.col("n") > (block + 1) * width).select("conv_id", "n", F.col("end").alias("start"))
         rolled = _rolled(here, width, F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"), *(F.max(b).alias(b) for b in sizes)).where("level > 0")
         nodes.append(scratch.put(rolled.select(
             "start", *ids, _key(width, F.col("level")).alias("key"), _key(width, F.col("level") - 1).alias("parent"), "conv_id",
             (F.col("level") + block * width).cast("long").alias("depth"), "n_convs", F.element_at(F.array(*sizes), F.col("level")).alias("bytes"),
         ), f"nodes{block}"))
-    ends = scratch.put(digests(reduce(DataFrame.unionByName, ends)), "ends")
+    if nodes:
+        ends = ends.union(written("rows", here).where(F.col("n") <= (F.col("block") + 1) * width).select("conv_id", "end"))
+    ends = scratch.put(digests(ends), "ends")
     below = None
-    sums = []
     # From the last block back: what each node and all below it sum up to; level 0 is what lies below a start.
     for block in reversed(range(len(nodes))):
         parents = [n.select(F.col("parent").alias("key")) for n in nodes[block:block + 2]]
@@ -184,17 +189,16 @@ def prefix_trie(rows: DataFrame, width: int = WIDTH) -> DataFrame:
             own = own.unionByName(deep)
         rolled = _rolled(own, width, F.sum("saved").alias("saved"), F.sum("leaves").alias("leaves"))
         done = scratch.put(rolled.select(_key(width, F.col("level")).alias("key"), "level", "saved", "leaves"), f"sums{block}")
-        sums.append(done.where("level > 0").drop("level"))
         below = done.where("level = 0").drop("level")
     columns = ["key", "parent", "conv_id", "depth", "n_convs"]
     root = starts.sparkSession.createDataFrame(
         [(bytearray(_ROOT), None, total[1], 0, total[0])] if total[0] else [], "key binary, parent binary, conv_id long, depth long, n_convs long"
     )
-    every = reduce(DataFrame.unionByName, [n.select(columns) for n in nodes], root)
+    every = root.unionByName(written("nodes", nodes[0]).select(columns)) if nodes else root
     if below is None:
         summed = root.select("key", F.lit(0).cast("long").alias("saved"), F.lit(1).cast("long").alias("leaves"))
     else:
-        summed = reduce(DataFrame.unionByName, sums, below)
+        summed = below.unionByName(written("sums", done).where("level > 0").drop("level"))
     children = every.where("parent is not null").groupBy(F.col("parent").alias("key")).agg(F.count("*").alias("n_children"))
     parents = every.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     ended = ends.select(F.col("end").alias("key"), "sha")
