@@ -18,29 +18,51 @@ from fieldbook.llm.tables import small_batches
 from fieldbook.llm.words import NOT_ALNUM, Splitter, buffer_of, pieces
 
 WINDOW = 13
-# Bytes of benchmark text that one automaton holds; a larger benchmark is scanned in blocks.
-BLOCK_BYTES = 16 << 20
+# Bytes of benchmark text that one automaton holds, in some 270 MB of a Python worker; a larger benchmark is scanned in blocks.
+BLOCK_BYTES = 4 << 20
 REPORT = "struct<n_words:bigint, n_hit:bigint, items:array<bigint>, spans:array<struct<start:bigint, end:bigint>>>"
 
 
 class Windows:
-    """Windows of a block of benchmark texts, by word number, and the items that hold each."""
+    """A block of benchmark texts as word numbers, and the automaton of their windows.
+
+    Only the numbers travel. A broadcast gives all batches and tasks of a Python worker the same object, so a
+    worker builds the automaton once, when it first needs it.
+    """
 
     def __init__(self, items: list[tuple[int | None, str]], width: int):
         words = Splitter(NOT_ALNUM)(pa.array([text for _, text in items], pa.large_string()))
         self.vocabulary, numbers = np.unique(words.key, return_inverse=True)
-        numbers = numbers + 1
-        self.holders: dict[tuple[int, ...], set[int | None]] = {}
-        for (item, _), first, last in zip(items, words.first[:-1], words.first[1:]):
-            size = min(width, last - first)
-            for at in range(first, last - size + 1 if size else first):
-                self.holders.setdefault(tuple(numbers[at:at + size].tolist()), set()).add(item)
-        self.shortest = min(map(len, self.holders), default=0)
+        self.numbers, self.first = (numbers + 1).astype(np.int32), words.first
+        self.items, self.width = [item for item, _ in items], width
+        sizes = np.diff(words.first)
+        self.shortest = min(width, int(sizes[sizes > 0].min())) if np.any(sizes > 0) else 0
+        self._built = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_built": None}
 
     def automaton(self) -> ahocorasick.Automaton:
+        if self._built is None:
+            self._built = self._build()
+        return self._built
+
+    def _build(self) -> ahocorasick.Automaton:
         built = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for window, held in self.holders.items():
-            built.add_word(window, (len(window), held))
+        numbers = self.numbers.tolist()
+        for item, first, last in zip(self.items, self.first[:-1].tolist(), self.first[1:].tolist()):
+            size = min(self.width, last - first)
+            # An item's windows share its holder; one that several items have gets a set of its own.
+            alone = (size, frozenset([item]))
+            for at in range(first, last - size + 1 if size else first):
+                window = tuple(numbers[at:at + size])
+                held = built.get(window, None)
+                if held is None:
+                    built.add_word(window, alone)
+                elif isinstance(held[1], set):
+                    held[1].add(item)
+                elif item not in held[1]:
+                    built.add_word(window, (size, {*held[1], item}))
         built.make_automaton()
         return built
 
@@ -64,17 +86,16 @@ def _runs(known: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray,
 
 def scan(parts: Iterable[tuple[pa.Array, list | None]], windows: Windows) -> Iterator[list[dict]]:
     """Reports for batches of texts; the hits of an earlier block's report are kept."""
-    split, built = Splitter(NOT_ALNUM), None
+    split = Splitter(NOT_ALNUM)
     for texts, earlier in parts:
         words = split(texts)
         counts = words.counts()
         delta = np.zeros(len(words.key) + 1, np.int32)
         items: dict[int, set] = {}
-        if windows.holders and len(words.key):
+        if windows.shortest and len(words.key):
             numbers = windows.number(words.key)
             for start, end in zip(*_runs(numbers > 0, words.first, windows.shortest)):
-                built = built or windows.automaton()
-                for last, (size, held) in built.iter(tuple(numbers[start:end].tolist())):
+                for last, (size, held) in windows.automaton().iter(tuple(numbers[start:end].tolist())):
                     delta[start + last + 1 - size] += 1
                     delta[start + last + 1] -= 1
                     items.setdefault(int(np.searchsorted(words.first, start, "right")) - 1, set()).update(held)
@@ -138,9 +159,10 @@ def scanned(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_by
     """``docs`` (as the struct ``row``) with ``report``: n_words, n_hit, items and hit spans (characters).
 
     The benchmark's bytes are counted first. Up to ``block_bytes`` of it make one automaton, sent to the
-    tasks as its windows; a larger benchmark is dealt out by item into blocks, one automaton after the
+    tasks as word numbers; a larger benchmark is dealt out by item into blocks, one automaton after the
     other over the same words. A null text has no words; benchmark texts without words have no
-    window; a null item_id marks words hit but is not among the items; repeated items count once.
+    window; a null item_id marks words hit but is not among the items; repeated items count once. A very long
+    text is a batch of its own and scanned whole. Without documents there are no rows, without benchmark no hits.
     """
     spark = docs.sparkSession
     small_batches(spark)

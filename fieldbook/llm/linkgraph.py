@@ -70,13 +70,21 @@ def summed(scores: DataFrame) -> DataFrame:
     return like.groupBy("kind", "host").agg(upward.alias("score"))
 
 
-def spread(scratch: Scratch, links: DataFrame, seeds: DataFrame, still: float = 1e-6) -> DataFrame:
+def own_score(seeds: float) -> float:
+    """What each of so many seeds of a kind has without any link."""
+    return (1 - FOLLOW) / seeds
+
+
+def spread(scratch: Scratch, links: DataFrame, seeds: DataFrame, still: float = 1e-6, least: float = 0.0) -> DataFrame:
     """``host``, ``trust`` and ``distrust`` (shares of one), for all hosts that get either.
 
     ``seeds`` has ``host`` and ``kind``, trust or distrust. A host hands on ``FOLLOW`` of its score by the
-    number of links: trust to those it links to, distrust to those that link to it. Rounds end when they
-    reach no further host and no more than ``still`` of all scores moves, so every host that links
-    lead to has a score above 0. Every round is written.
+    number of links: trust to those it links to, distrust to those that link to it. Every round is written.
+
+    Rounds end when they reach no further host and no more than ``still`` of all scores moves, so every
+    host that links lead to has a score above 0. With ``least`` they end when all later rounds together could move
+    no more than a tenth of ``least`` of what a seed itself starts with: as each round moves at most ``FOLLOW`` of
+    what the one before did, their number grows with the logarithm of the seeds, not with the longest path.
     """
     out = links.groupBy("source").agg(F.sum("n").alias("all"))
     into = links.groupBy("target").agg(F.sum("n").alias("all"))
@@ -86,6 +94,8 @@ def spread(scratch: Scratch, links: DataFrame, seeds: DataFrame, still: float =
     sizes = seeds.groupBy("kind").agg(F.count("*").alias("seeds"))
     start = scratch.put(seeds.join(sizes, "kind").select("kind", "host", (1 / F.col("seeds")).alias("score")), "start")
     base = start.select("kind", "host", (F.col("score") * (1 - FOLLOW)).alias("score"))
+    most_seeds = start.agg(F.max(1 / F.col("score"))).first()[0] or 1
+    enough = least * own_score(most_seeds) / 10 * (1 - FOLLOW) / FOLLOW
     state = scratch.put(start, "state")
     while True:
         handed = F.greatest(F.col("score") * F.col("share") * FOLLOW, F.lit(LEAST))
@@ -96,20 +106,22 @@ def spread(scratch: Scratch, links: DataFrame, seeds: DataFrame, still: float =
         each = both.agg(F.floor(F.abs(F.sum("score")) * UNITS).alias("change"), F.count("*").alias("times"))
         change, further = each.agg(F.sum("change"), F.count_if(F.col("times") == 1)).first()
         scratch.keep_only(*scratch.paths)
-        if not further and (change or 0) <= still * UNITS:
+        if (change or 0) <= (enough if least else still) * UNITS and (least or not further):
             break
     share = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
     return state.groupBy("host").agg(share("trust"), share("distrust"))
 
 
-def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, ratio: float = 1.0) -> DataFrame:
+def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, ratio: float = 1.0, least: float = 0.0) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict, trust and distrust of the host.
 
     Columns used: page_id, url, html. A rule decides the pages it fits. A host is a seed of trust if
     rules allow more than half of its pages, of distrust if they block more than half. Other pages
-    are blocked if their host's distrust is above 0 and at least ``ratio`` times its trust, else
-    allowed; that includes urls without a host. Seeds and links are of hosts without user and port; ``host``
-    has both. A null html has no links. Repeated rows count as often as they occur.
+    are blocked if their host's distrust is above 0, at least ``ratio`` times its trust and at least the share
+    ``least`` of what a seed of distrust has without any link; else allowed, as are urls without a host. With
+    ``least`` 0, one link to a blocked host among any number is enough. Seeds and links are of hosts without user and
+    port; ``host`` has both. A null html has no links, a very long one is searched whole. Repeated rows count as
+    often as they occur. An empty table gives an empty one.
     """
     scratch = Scratch(pages.sparkSession, "linkgraph")
     host, path = host_and_path(F.col("url"))
@@ -120,11 +132,12 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, rati
         F.count("*").alias("pages"), F.count_if(F.col("fit.verdict") == "allow").alias("allowed"), F.count_if(F.col("fit.verdict") == "block").alias("blocked")
     )
     kind = F.when(2 * F.col("allowed") > F.col("pages"), F.lit("trust")).when(2 * F.col("blocked") > F.col("pages"), F.lit("distrust"))
-    seeds = hosts.select("host", kind.alias("kind")).where("kind is not null")
-    scores = scratch.put(spread(scratch, links, seeds), "scores")
+    seeds = scratch.put(hosts.select("host", kind.alias("kind")).where("kind is not null"), "seeds")
+    floor = least * own_score(max(1, seeds.where("kind = 'distrust'").count()))
+    scores = scratch.put(spread(scratch, links, seeds, least=least), "scores")
     scratch.keep_only("ruled", "scores")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    by_graph = F.when((distrust > 0) & (distrust >= ratio * trust), F.lit("block")).otherwise(F.lit("allow"))
+    by_graph = F.when((distrust > 0) & (distrust >= floor) & (distrust >= ratio * trust), F.lit("block")).otherwise(F.lit("allow"))
     scores = scores.withColumnRenamed("host", "site")
     return ruled.join(scores, site(F.col("host")) == F.col("site"), "left").select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", by_graph).alias("verdict"),

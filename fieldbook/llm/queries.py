@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldbook.llm import contamination, jaccard, language, lines, linkgraph, lm, mixing, repeats, sharding, turns, vafile, warc, whitening
 from fieldbook.llm.tables import table
 
+# A host without a rule is blocked from a hundredth of a blocked seed's own distrust on.
+LEAST_DISTRUST = 0.01
+
 
 def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
@@ -45,7 +48,7 @@ def op4_zip_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All page urls judged by rules, else by what trust and distrust their hosts get over links."""
-    return linkgraph.judged(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return linkgraph.judged(table(spark, sf_dir, "pages").select("page_id", "url", "html"), least=LEAST_DISTRUST)
 
 
 def op6_drop_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
