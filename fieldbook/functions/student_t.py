@@ -1,89 +1,82 @@
-"""Student's t distribution for the one result row of a test.
+"""Student's t distribution as column expressions.
 
-Spark has no t distribution. The heavy part of every test is a Spark aggregate; only the
-finished statistics (one row) pass through these Pandas UDFs.
+Spark has no t distribution. Its tails are a regularised incomplete beta function, here a continued
+fraction folded over a sequence of steps (modified Lentz method), so no Python worker is needed. The expressions
+are written as SQL text, which Spark parses in one call. Arguments are column names or SQL text; every function is NULL
+where an argument is, or where the degrees of freedom are not above 0.
 """
 
 from __future__ import annotations
 
-import math
+from pyspark.sql import Column, functions as F
 
-import pandas as pd
-from pyspark.sql import functions as F, types as T
+_NEWTON_STEPS = 80
+# Half steps of the fraction. With 1/2 as one parameter, doubles keep still after some hundred, whatever the other is.
+_FRACTION_STEPS = 200
+# Adding so little changes nothing but a zero.
+_TINY = "1e-300D"
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz method)."""
-    tiny = 1e-300
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with a value that is computed once however often the body names it."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-    def safe(v: float) -> float:
-        return v if abs(v) > tiny else tiny
 
-    c, d = 1.0, 1.0 / safe(1.0 - (a + b) * x / (a + 1.0))
-    total = d
-    for m in range(1, 500):
-        for step in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1.0 / safe(1.0 + step * d)
-            c = safe(1.0 + step / c)
-            total *= d * c
-        if abs(d * c - 1.0) < 1e-15:
-            break
-    return total
+def _gamma_step(a: str) -> str:
+    """ln Gamma(a + 1/2) - ln Gamma(a), as one difference so that large terms do not cancel."""
+    rest = lambda z: f"(1 / (12 * {z}) - 1 / (360 * pow({z}, 3)) + 1 / (1260 * pow({z}, 5)))"
+    far = f"z * log1p(0.5D / z) + 0.5D * ln(z) - 0.5D + {rest('(z + 0.5D)')} - {rest('z')}"
+    near = f"aggregate(sequence(0, 9), 0D, (sum, k) -> sum + log1p(-0.5D / ({a} + k + 0.5D)))"
+    return f"({_let('z', f'{a} + 10D', far)} + {near})"
 
 
-def regularised_beta(a: float, b: float, x: float) -> float:
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
+def _fraction(p: str, q: str, z: str) -> str:
+    """Continued fraction of the incomplete beta function, one parameter of which is 1/2."""
+    top = "IF(j % 2 = 0, shiftright(j, 1) * (f.q - shiftright(j, 1)), -(f.p + shiftright(j, 1)) * (f.p + f.q + shiftright(j, 1)))"
+    term = f"{top} * f.z / ((f.p + j - 1) * (f.p + j))"
+    step = f"named_struct('c', 1 + w / s.c + {_TINY}, 'd', 1 / (1 + w * s.d + {_TINY}), 'total', s.total * s.c * s.d)"
+    start = f"named_struct('c', 1D, 'd', 1 / (1 - (f.p + f.q) * f.z / (f.p + 1) + {_TINY}), 'total', 1D)"
+    folded = f"aggregate(sequence(2, {_FRACTION_STEPS}), {start}, (s, j) -> {_let('w', term, step)}, s -> s.total * s.c * s.d)"
+    return _let("f", f"named_struct('p', {p}, 'q', {q}, 'z', {z})", folded)
 
 
-def upper_tail(t: float, df: float) -> float:
-    """P(T > t)."""
-    half = 0.5 * regularised_beta(df / 2.0, 0.5, df / (df + t * t))
-    return half if t >= 0 else 1.0 - half
-
-
-def quantile(p: float, df: float) -> float:
-    """t with P(T <= t) = p, by bisection."""
-    low, high = -1.0, 1.0
-    while upper_tail(low, df) < 1.0 - p:
-        low *= 2
-    while upper_tail(high, df) > 1.0 - p:
-        high *= 2
-    for _ in range(200):
-        mid = (low + high) / 2
-        if upper_tail(mid, df) > 1.0 - p:
-            low = mid
-        else:
-            high = mid
-    return (low + high) / 2
+def _both_tails(t: str, df: str) -> str:
+    """P(|T| > |t|) of plain names."""
+    front = f"exp({_gamma_step('b.a')} - 0.5D * ln(pi()) - b.a * log1p(b.square / {df}) + 0.5D * ln(b.y))"
+    fraction = _fraction("IF(b.low, b.a, 0.5D)", "IF(b.low, 0.5D, b.a)", "IF(b.low, b.x, b.y)")
+    tails = _let("part", f"{front} * {fraction} / IF(b.low, b.a, 0.5D)", "IF(b.low, part, 1 - part)")
+    square = f"{t} * {t}"
+    low = f"{df} / ({df} + {square}) < ({df} / 2 + 1) / ({df} / 2 + 2.5D)"
+    parts = f"named_struct('a', {df} / 2, 'square', {square}, 'x', {df} / ({df} + {square}), 'y', {square} / ({df} + {square}), 'low', {low})"
+    return _let("b", parts, f"CASE WHEN b.square = 0 THEN 1D WHEN b.square = double('infinity') THEN 0D ELSE {tails} END")
 
 
-def _paired(fn, left: pd.Series, right: pd.Series) -> pd.Series:
-    out = [None if pd.isna(a) or pd.isna(b) or b <= 0 else fn(a, b) for a, b in zip(left, right)]
-    return pd.Series(out, dtype="float64")
+def _given(value: str, df: str, body: str) -> Column:
+    """``body`` in terms of ``g.value`` and ``g.df``."""
+    pair = f"named_struct('value', CAST({value} AS DOUBLE), 'df', CAST({df} AS DOUBLE))"
+    return F.expr(_let("g", pair, f"IF(g.value IS NOT NULL AND g.df > 0, {body}, NULL)"))
 
 
-@F.pandas_udf(T.DoubleType())
-def t_upper_tail(t: pd.Series, df: pd.Series) -> pd.Series:
-    return _paired(upper_tail, t, df)
+def t_two_sided(t: str, df: str) -> Column:
+    """P(|T| > |t|)."""
+    return _given(t, df, _both_tails("g.value", "g.df"))
 
 
-@F.pandas_udf(T.DoubleType())
-def t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
-    return _paired(lambda a, b: 2.0 * upper_tail(abs(a), b), t, df)
-
-
-@F.pandas_udf(T.DoubleType())
-def t_quantile(p: pd.Series, df: pd.Series) -> pd.Series:
-    return _paired(quantile, p, df)
+def t_upper_tail(t: str, df: str) -> Column:
+    """P(T > t)."""
+    return _given(t, df, _let("half", _both_tails("g.value", "g.df") + " / 2", "IF(g.value >= 0, half, 1 - half)"))
+
+
+def t_quantile(p: str, df: str) -> Column:
+    """t with P(T <= t) = p, for p above 0 and below 1.
+
+    Newton's method from 0 on the side of p: the distribution is concave there, so no step passes the
+    quantile, and the steps end at the precision of doubles.
+    """
+    density = "exp(h.constant - (g.df + 1) / 2 * log1p(n.t * n.t / g.df))"
+    move = f"(h.upper - 1 + {_both_tails('n.t', 'g.df')} / 2) / {density}"
+    moved = _let("by", move, "named_struct('t', n.t + by, 'done', abs(by) <= 1e-14D * abs(n.t + by))")
+    found = f"aggregate(sequence(1, {_NEWTON_STEPS}), named_struct('t', 0D, 'done', h.upper = 0.5D), (n, i) -> IF(n.done, n, {moved}), n -> n.t)"
+    constant = f"{_gamma_step('(g.df / 2)')} - 0.5D * ln(g.df * pi())"
+    solved = _let("h", f"named_struct('upper', greatest(g.value, 1 - g.value), 'constant', {constant})", found)
+    return _given(p, df, f"IF(g.value > 0 AND g.value < 1, {_let('t', solved, 'IF(g.value < 0.5D, -t, t)')}, NULL)")

@@ -8,11 +8,14 @@ cell keeps only the edges that can matter for points in it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldbook.functions.geometry import EDGES_TYPE, great_circle_m, in_polygon
+from fieldbook.functions.geometry import EARTH_RADIUS_M, EDGES_TYPE, great_circle_m, in_polygon
 from fieldbook.operators.ranking import bottom_n
 
 # One side length of a cell, or its width and height.
@@ -95,10 +98,36 @@ def points_within(points: DataFrame, polygons: DataFrame, x: str, y: str, size:
     return join_polygons(points, polygons, x, y, size, edges, "left_semi")
 
 
+def near_box(lon: Column, lat: Column, to_lon: float, to_lat: float, metres: float) -> Column:
+    """Plain comparisons that all points within so many metres of a place pass.
+
+    Coordinates outside their usual ranges pass too, as they may name a near place in another way.
+    """
+    reach = math.degrees(metres / EARTH_RADIUS_M) * (1 + 1e-9) + 1e-9
+    low, high = to_lat - reach, to_lat + reach
+    inside, beyond = lat.between(low, high), (lat < -90) | (lat > 90)
+    if low <= -90 or high >= 90:
+        return inside | beyond
+    at = (to_lon + 180) % 360 - 180
+    # The widest meridians that a circle around the place touches.
+    aside = math.degrees(math.asin(math.sin(math.radians(reach)) / math.cos(math.radians(to_lat)))) * (1 + 1e-9) + 1e-9
+    turns = [lon.between(at + turn - aside, at + turn + aside) for turn in (-360, 0, 360)]
+    return (inside & (reduce(or_, turns) | (lon < -180) | (lon > 360))) | beyond
+
+
 def nearest(points: DataFrame, lon: str, lat: str, to_lon: float, to_lat: float, n: int,
-            distance: str = "distance") -> DataFrame:
-    """The n nearest points to a fixed place, ties kept."""
-    return bottom_n(points.withColumn(distance, great_circle_m(lon, lat, to_lon, to_lat)), distance, n)
+            distance: str = "distance", sample: int = 1000) -> DataFrame:
+    """The n nearest points to a fixed place, ties kept.
+
+    Any n points bound the n-th distance. They come from the first ``sample`` located ones, and a box that holds
+    the bound is compared with the bare coordinates, so it reaches the scan, or the points' side of a join, before any
+    distance is computed. A poor sample gives a large box, never a wrong result.
+    """
+    away = great_circle_m(lon, lat, to_lon, to_lat)
+    some = points.select(away.alias("m")).where(F.col("m").isNotNull() & ~F.isnan("m")).limit(max(sample, n)).collect()
+    if n and len(some) >= n:
+        points = points.where(near_box(F.col(lon), F.col(lat), to_lon, to_lat, sorted(r.m for r in some)[n - 1]))
+    return bottom_n(points.withColumn(distance, away), distance, n)
 
 
 def without_geometry(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -33,15 +33,15 @@ def welch_t(df: DataFrame, value: str, is_first: Column, alternative: str = "two
     ).withColumn("statistic", ratio("estimate", "se"))
     if alternative == "two-sided":
         p_value = t_two_sided("statistic", "t_df")
-        reach = t_quantile(F.lit(0.5 + conf_level / 2), F.col("t_df")) * F.col("se")
-        upper = F.col("estimate") + reach
+        quantile = t_quantile(f"{0.5 + conf_level / 2}D", "t_df")
+        upper = F.col("estimate") + F.col("reach")
     else:
         p_value = t_upper_tail("statistic", "t_df")
-        reach = t_quantile(F.lit(conf_level), F.col("t_df")) * F.col("se")
+        quantile = t_quantile(f"{conf_level}D", "t_df")
         upper = F.lit(float("inf"))
-    return test.select(
+    return test.withColumn("reach", quantile * F.col("se")).select(
         "statistic", "t_df", p_value.alias("p_value"), "estimate",
-        (F.col("estimate") - reach).alias("lower_ci"), upper.alias("upper_ci"),
+        (F.col("estimate") - F.col("reach")).alias("lower_ci"), upper.alias("upper_ci"),
     )
 
 
@@ -54,9 +54,9 @@ def ols_line(df: DataFrame, y: str, x: str) -> DataFrame:
         F.corr(F.col(y), F.col(x)).alias("correlation"),
         F.regr_r2(F.col(y), F.col(x)).alias("r_squared"),
     )
-    freedom = (F.col("n") - 2).cast("double")
-    t = F.col("correlation") * F.sqrt(ratio(freedom, 1 - F.col("r_squared")))
-    return fit.withColumn("p_value", t_two_sided(t, freedom))
+    freedom = F.col("n") - 2
+    t = F.col("correlation") * F.sqrt(ratio(freedom.cast("double"), 1 - F.col("r_squared")))
+    return fit.withColumns({"__t": t, "__df": freedom}).withColumn("p_value", t_two_sided("__t", "__df")).drop("__t", "__df")
 
 
 def with_fitted_line(df: DataFrame, y: str, x: str) -> DataFrame:

@@ -16,10 +16,10 @@ from fieldbook.operators.ranking import top_n, top_n_per_group, top_n_ranked
 from fieldbook.operators.reshape import drop_prefixed, ints_where_named
 from fieldbook.operators.sets import bind_same, require_complete
 from fieldbook.operators.stats import with_fitted_line
-from fieldbook.sources.archives import broken, read_zipped_csv, undersized
+from fieldbook.sources.archives import read_zipped_csv, undersized
 from fieldbook.sources.delimited import read_year_folders
 from fieldbook.sources.html_tables import html_rows, table_columns
-from fieldbook.sources.materialise import read_through
+from fieldbook.sources.materialise import keep, read_through
 
 # Two-digit sectors that the published list gives only as ranges.
 RANGE_SECTORS = [
@@ -91,21 +91,22 @@ def read_wages(spark: SparkSession, paths: str | list[str], years: Iterable[int]
     """Wage table from yearly zip archives.
 
     An error names archives that are broken or smaller than ``least_bytes`` (published ones have
-    75 MB and more) and the wanted years without rows, so that no year is lost unseen.
+    75 MB and more) and the wanted years without rows, so that no year is lost unseen. The archives are read
+    once: their rows and faults are written to the shared folder together.
     """
-    faults = [f"{r.path}: {r.fault}" for r in broken(spark, paths).collect()]
+    columns = ["area_fips", "industry_code", "annual_avg_emplvl", "total_annual_wages"]
+    raw = keep(read_zipped_csv(spark, paths, columns, fault="fault"))
+    faults = [f"{r.path}: {r.fault}" for r in raw.where("fault is not null").select("path", "fault").collect()]
     faults += [f"{r.path}: only {r.length} bytes" for r in undersized(spark, paths, least_bytes).collect()]
     if faults:
         raise ValueError(f"unusable archives: {sorted(faults)}")
-    columns = ["area_fips", "industry_code", "annual_avg_emplvl", "total_annual_wages"]
-    raw = read_zipped_csv(spark, paths, columns)
     year = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"(\d{4})", 1).try_cast("int")
-    return require_complete(clean_wages(raw.withColumn("year", year).drop("path")), "year", years)
+    return require_complete(clean_wages(raw.withColumn("year", year).drop("path", "fault")), "year", years)
 
 
 def wages_once(spark: SparkSession, landed: str, paths: str | list[str], years: Iterable[int], least_bytes: int = 1) -> DataFrame:
-    """The wage table, read from the archives the first time and from Parquet at ``landed`` from then on."""
-    return read_through(spark, landed, lambda: read_wages(spark, paths, years, least_bytes))
+    """The wage table, read from the archives where these have changed and else from Parquet at ``landed``."""
+    return read_through(spark, landed, lambda: read_wages(spark, paths, years, least_bytes), paths)
 
 
 def clean_wages(raw: DataFrame) -> DataFrame:

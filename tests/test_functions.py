@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,12 +118,38 @@ def test_great_circle(spark):
     assert far == pytest.approx(111195.1, abs=0.1) and same == 0.0
 
 
-def test_student_t():
+def test_student_t(spark):
+    def at(fn, *pairs):
+        df = spark.createDataFrame([(float(x), float(n)) for x, n in pairs], "x double, n double")
+        return [r[0] for r in df.select(fn("x", "n")).collect()]
+
     # Known points of the distribution.
-    assert student_t.quantile(0.975, 7) == pytest.approx(2.364624, abs=1e-6)
-    assert student_t.quantile(0.975, 1) == pytest.approx(12.7062047, abs=1e-6)
-    assert 2 * student_t.upper_tail(1.959963985, 1e7) == pytest.approx(0.05, abs=1e-6)
-    assert student_t.upper_tail(-1.0, 1) == pytest.approx(0.75)
+    assert at(student_t.t_quantile, (0.975, 7), (0.975, 1), (0.025, 7), (0.5, 3)) == [
+        pytest.approx(2.364624, abs=1e-6), pytest.approx(12.7062047, abs=1e-6), pytest.approx(-2.364624, abs=1e-6), 0.0,
+    ]
+    assert at(student_t.t_two_sided, (1.959963985, 1e7)) == [pytest.approx(0.05, abs=1e-6)]
+    assert at(student_t.t_upper_tail, (-1.0, 1)) == [pytest.approx(0.75)]
     # r = -0.213 over 9 years: p = 0.58, as published to two places.
     r = -0.213
-    assert 2 * student_t.upper_tail(abs(r) * (7 / (1 - r * r)) ** 0.5, 7) == pytest.approx(0.582, abs=1e-3)
+    assert at(student_t.t_two_sided, (abs(r) * (7 / (1 - r * r)) ** 0.5, 7)) == [pytest.approx(0.582, abs=1e-3)]
+
+
+def test_student_t_against_closed_forms(spark):
+    """Tails for 1, 2 and 4 degrees and those of the normal distribution, and back by the quantile."""
+    tails = {
+        1.0: lambda t: 0.5 - math.atan(t) / math.pi,
+        2.0: lambda t: 0.5 - t / (2 * math.sqrt(2 + t * t)),
+        4.0: lambda t: 0.5 - 3 / 8 * (t / math.sqrt(1 + t * t / 4)) * (1 - t * t / (12 * (1 + t * t / 4))),
+        1e8: lambda t: math.erfc(t / math.sqrt(2)) / 2,
+    }
+    points = [(t, n) for n in tails for t in (0.0, 1e-3, 0.4, 1.0, 1.22, 1.3, 2.0, 5.0, -0.7, -3.0)]
+    df = spark.createDataFrame(points, "t double, n double")
+    for r in df.select("t", "n", student_t.t_upper_tail("t", "n").alias("p"), student_t.t_two_sided("t", "n").alias("both")).collect():
+        want = tails[r.n](r.t)
+        assert r.p == pytest.approx(want, rel=1e-6 if r.n > 4 else 1e-9, abs=1e-12) and r.both == pytest.approx(2 * min(r.p, 1 - r.p))
+    back = df.where("abs(t) < 4").withColumn("p", 1 - student_t.t_upper_tail("t", "n")).select("t", student_t.t_quantile("p", "n").alias("q"))
+    assert all(r.q == pytest.approx(r.t, rel=1e-6, abs=1e-7) for r in back.collect())
+    none = spark.createDataFrame([(None, 3.0), (1.0, None), (1.0, 0.0)], "t double, n double")
+    assert [r[0] for r in none.select(student_t.t_two_sided("t", "n")).collect()] == [None] * 3
+    far = spark.createDataFrame([(float("inf"), 3.0)], "t double, n double")
+    assert far.select(student_t.t_two_sided("t", "n")).first()[0] == 0.0

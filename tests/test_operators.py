@@ -387,3 +387,26 @@ def test_nearest(spark):
     df = spark.createDataFrame([(0.0, 1.0), (0.0, -1.0), (0.0, 2.0), (None, 0.0)], "lon double, lat double")
     got = spatial.nearest(df, "lon", "lat", 0.0, 0.0, 1)
     assert bag(got.select("lat")) == [(-1.0,), (1.0,)]
+
+
+def test_nearest_box_keeps_every_near_point(spark):
+    """Against all distances: near poles and the date line, with coordinates named in other ways, nulls and ties."""
+    rng = random.Random(9)
+    points = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(3000)]
+    points += [(x + 360, y) for x, y in points[:300]] + [(x, 180 - y) for x, y in points[300:400]] + [(541.0, 10.0), (None, 3.0), (2.0, None)]
+    df = spark.createDataFrame(points, "lon double, lat double").repartition(4)
+    for to_lon, to_lat in ((0.0, 0.0), (179.9, 12.0), (-179.9, -45.0), (10.0, 89.5), (200.0, -89.9), (-70.0, 41.0)):
+        every = df.withColumn("distance", spatial.great_circle_m("lon", "lat", to_lon, to_lat))
+        want = bag(ranking.bottom_n(every, "distance", 7))
+        for sample in (7, 1000):
+            assert bag(spatial.nearest(df, "lon", "lat", to_lon, to_lat, 7, sample=sample)) == want
+    # Fewer located points than asked for: all rows, as without a box.
+    few = spark.createDataFrame([(0.0, 1.0), (None, 0.0)], "lon double, lat double")
+    assert spatial.nearest(few, "lon", "lat", 0.0, 0.0, 3).count() == 2
+
+
+def test_nearest_box_reaches_the_scan(spark, tmp_path):
+    spark.range(5000).selectExpr("(id % 360) - 180.0 as lon", "(id % 171) - 85.0 as lat", "id").write.parquet(str(tmp_path / "p"))
+    plan = spatial.nearest(spark.read.parquet(str(tmp_path / "p")), "lon", "lat", 0.0, 0.0, 5)._jdf.queryExecution().toString()
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+    assert pushed and all("lat" in line and "lon" in line for line in pushed)

@@ -78,6 +78,37 @@ def test_read_through_builds_once(spark, tmp_path):
     assert len(calls) == 2
 
 
+def test_landed_tables_follow_their_inputs(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.csv", "x\n1\n2\n")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return delimited.read_csv(spark, str(tmp_path / "in"), "x int").repartition(2)
+
+    def read():
+        return bag(materialise.read_through(spark, path, build, str(tmp_path / "in" / "*.csv")))
+
+    path = str(tmp_path / "t")
+    assert read() == read() == [(1,), (2,)] and len(calls) == 1
+    noted = materialise.manifest(spark, path)
+    assert noted["rows"] == 2 and noted["inputs"]["files"] == 1 and noted["table"]["files"] >= 1
+    # A further input, a changed one, and a part file that was lost: each makes the table anew.
+    write(tmp_path / "in" / "b.csv", "x\n3\n")
+    assert read() == [(1,), (2,), (3,)] and len(calls) == 2
+    write(tmp_path / "in" / "b.csv", "x\n3\n4\n")
+    assert read() == [(1,), (2,), (3,), (4,)] and len(calls) == 3
+    next((tmp_path / "t").glob("part-*")).unlink()
+    assert read() == [(1,), (2,), (3,), (4,)] and len(calls) == 4
+    # Inputs that are gone leave the table as it is; an empty table lands too.
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / "in" / name).unlink()
+    assert len(read()) == 4 and len(calls) == 4
+    materialise.land(spark, str(tmp_path / "e"), spark.createDataFrame([], "x int"))
+    assert materialise.manifest(spark, str(tmp_path / "e"))["rows"] == 0
+
+
 def test_keep_uses_the_checkpoint_folder(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(materialise, "shared_folder", lambda _: str(tmp_path))
     kept = materialise.keep(spark.range(5).withColumn("x", F.col("id") * 2))
@@ -214,6 +245,33 @@ def test_zip_archives(spark, tmp_path):
     assert [r.path.split("/")[-1] for r in small] == ["2011_annual.zip"]
 
 
+def test_archive_beyond_four_gigabytes(spark, tmp_path):
+    """A sparse archive of 5 GiB: its directory and its one table are all that is read."""
+    large = tmp_path / "2020_annual.zip"
+    with open(large, "wb") as file:
+        file.truncate(5 << 30)
+    with zipfile.ZipFile(large, "a", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("2020.csv", "area_fips,code\n" + "".join(f"C{k},{k}\n" for k in range(50_000)))
+    df = archives.read_zipped_csv(spark, str(large), ["area_fips", "code"])
+    assert df.agg(F.count("*"), F.max(F.col("code").cast("int"))).first()[:2] == (50_000, 49_999)
+    assert archives.broken(spark, str(large)).count() == 0
+
+
+def test_faults_come_beside_the_rows(spark, tmp_path):
+    for year in (2009, 2010):
+        with zipfile.ZipFile(tmp_path / f"{year}.zip", "w") as z:
+            z.writestr(f"{year}.csv", "area_fips\n" + f"C{year}\n" * 3)
+    whole = (tmp_path / "2010.zip").read_bytes()
+    (tmp_path / "2010.zip").write_bytes(whole.replace(b"C2010\nC2010", b"C2010\nX2010", 1))
+    (tmp_path / "2011.zip").write_bytes(b"broken")
+    rows = archives.read_zipped_csv(spark, str(tmp_path) + "/*.zip", ["area_fips"], fault="fault").collect()
+    assert [r.area_fips for r in rows if r.path.endswith("2009.zip")] == ["C2009"] * 3
+    faults = {r.path.split("/")[-1]: r.fault for r in rows if r.fault}
+    assert sorted(faults) == ["2010.zip", "2011.zip"] and "CRC" in faults["2010.zip"]
+    assert all(r.area_fips is None for r in rows if r.fault)
+    assert sorted(r.path.split("/")[-1] for r in archives.broken(spark, str(tmp_path) + "/*.zip").collect()) == ["2010.zip", "2011.zip"]
+
+
 PAGE = """<html><body><table><tr><td>other</td></tr></table>
 <TABLE id="naics_titles"><thead><tr><th>Code</th><th>Industry&nbsp;Title</th></tr></thead>
 <tbody><tr><td>5182</td><td>NAICS 5182 <b>Data</b>
