@@ -1,9 +1,10 @@
 """Exact top-k search by inner product with a vector-approximation file.
 
-Every vector has a coarse copy, the cell of each component. Blocks of queries scan blocks of cells for
-bounds of the scores; the k-th largest lower bound of a query, over all blocks, is a threshold that its
-best k scores reach. Exact vectors are then read in the order of their upper bounds until the k-th exact
-score is at least the next upper bound.
+Every vector has a coarse copy, the cell of each component. Blocks of queries scan blocks of
+cells for bounds of the scores; the k-th largest lower bound of a query, over all blocks, is a threshold that
+its best k scores reach. Rows whose upper bound reaches it are candidates. Exact vectors, of candidates only, are
+then read in the order of their upper bounds, in steps of doubling length, until the k-th exact score is above
+all upper bounds left.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fieldbook.llm.tables import Scratch, partitions
 
 SCALE = 64
-CELL_BITS = 4
+CELL_BITS = 5
 VECTORS, QUERIES = 2048, 1024
 # Sums of so large products are exact in doubles.
 EXACT = float(1 << 53)
@@ -37,37 +38,37 @@ def usable(vector: Column) -> Column:
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows packed as matrices of up to ``size`` vectors of one length: block, dims, ids, vectors."""
+    """Rows packed as matrices of up to ``size`` vectors of one length: block, dims, rows, ids, vectors."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[int, list[tuple[np.ndarray, ...]]] = {}
 
         def packed(dims: int, least: int) -> Iterator[pa.RecordBatch]:
             nonlocal block
-            ids, vectors = (np.concatenate(x) for x in zip(*held.pop(dims)))
-            while len(ids) >= least:
+            parts = tuple(np.concatenate(x) for x in zip(*held.pop(dims)))
+            while len(parts[0]) >= least:
                 block += 1
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([block], pa.int64()), "dims": pa.array([dims], pa.int32()),
-                    "ids": pa.array([ids[:size].tobytes()], pa.binary()), "vectors": pa.array([vectors[:size].tobytes()], pa.binary()),
+                    **{c: pa.array([x[:size].tobytes()], pa.binary()) for c, x in zip(("rows", "ids", "vectors"), parts)},
                 })
-                ids, vectors = ids[size:], vectors[size:]
-            if len(ids):
-                held[dims] = [(ids, vectors)]
+                parts = tuple(x[size:] for x in parts)
+            if len(parts[0]):
+                held[dims] = [parts]
 
         for batch in batches:
-            ids, lists = batch.column("vec_id"), batch.column("vector")
+            lists = batch.column("vector")
             lengths = lists.value_lengths()
             for dims in lengths.unique().to_pylist():
                 of = pc.equal(lengths, dims)
                 matrix = lists.filter(of).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims) if dims else np.zeros((pc.sum(of).as_py(), 0))
-                held.setdefault(dims, []).append((ids.filter(of).to_numpy(), matrix))
-                if sum(len(i) for i, _ in held[dims]) >= size:
+                held.setdefault(dims, []).append((batch.column("row").filter(of).to_numpy(), batch.column("vec_id").filter(of).to_numpy(), matrix))
+                if sum(len(part[0]) for part in held[dims]) >= size:
                     yield from packed(dims, size)
         for dims in list(held):
             yield from packed(dims, 1)
 
-    return rows.mapInArrow(pack, "block bigint, dims int, ids binary, vectors binary")
+    return rows.select("row", "vec_id", "vector").mapInArrow(pack, "block bigint, dims int, rows binary, ids binary, vectors binary")
 
 
 def _cells(vectors: np.ndarray, low: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -75,7 +76,7 @@ def _cells(vectors: np.ndarray, low: np.ndarray, width: np.ndarray) -> np.ndarra
 
 
 def _with_cells(blocks: DataFrame) -> DataFrame:
-    """Blocks with each component's cells: the block's own grid, and the cells of its vectors."""
+    """Blocks with each component's cells in place of the vectors: the block's own grid, and its vectors' cells."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {"low": [], "width": [], "cells": []}
@@ -88,10 +89,10 @@ def _with_cells(blocks: DataFrame) -> DataFrame:
                 out["width"].append(width.tobytes())
                 out["cells"].append(_cells(vectors, low, width).tobytes())
             yield pa.RecordBatch.from_pydict(
-                dict(zip(batch.schema.names, batch.columns)) | {c: pa.array(v, pa.binary()) for c, v in out.items()}
+                {c: batch.column(c) for c in ("block", "dims", "rows", "ids")} | {c: pa.array(v, pa.binary()) for c, v in out.items()}
             )
 
-    return blocks.mapInArrow(add, "block bigint, dims int, ids binary, vectors binary, low binary, width binary, cells binary")
+    return blocks.mapInArrow(add, "block bigint, dims int, rows binary, ids binary, low binary, width binary, cells binary")
 
 
 def _bounds(queries: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,14 +145,41 @@ def _thresholds(pairs: DataFrame, k: int) -> DataFrame:
     return merged.groupBy("q_block").applyInArrow(merge, kind).select("q_block", "best")
 
 
-def _exact(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products, in doubles where these hold them exactly."""
-    largest = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, queries.shape[1])
-    if largest < EXACT:
-        return (queries @ vectors.T).astype(np.int64)
-    if largest >= float(1 << 62):
-        raise ValueError("components are too large for scores of 64 bits")
-    return queries.astype(np.int64) @ vectors.T.astype(np.int64)
+def _candidates(pairs: DataFrame, k: int) -> DataFrame:
+    """``query`` and ``row`` of all pairs whose upper bound, ``upper``, reaches the query's threshold."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            ids, q_ids, queries, cells, low, width = _open(row)
+            limit = np.frombuffer(row["best"], np.float64).reshape(-1, k).min(axis=1)
+            upper = _bounds(queries, cells, low, width)[1]
+            upper[q_ids[:, None] == ids[None, :]] = -np.inf
+            q, v = np.nonzero((upper >= limit[:, None]) & (upper > -np.inf))
+            number = lambda name, at: pa.array(np.frombuffer(row[name], np.int64)[at])
+            yield pa.RecordBatch.from_pydict({"query": number("q_rows", q), "row": number("rows", v), "upper": pa.array(upper[q, v])})
+
+    return pairs.mapInArrow(scan, "query bigint, row bigint, upper double")
+
+
+def _scored(pairs: DataFrame) -> DataFrame:
+    """``query``, ``vec_id`` and exact ``score`` of pairs that hold both vectors."""
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("q_vector", "vector"))
+            largest = float(np.abs(one).max(initial=0)) * float(np.abs(other).max(initial=0))
+            lengths = batch.column("vector").value_lengths().to_numpy()
+            if largest * max(1, lengths.max(initial=0)) >= float(1 << 62):
+                raise ValueError("components are too large for scores of 64 bits")
+            # The running sum may pass 64 bits, but then differences of it are still right.
+            sums = np.concatenate([[0], np.cumsum(one * other)])
+            edges = np.concatenate([[0], np.cumsum(lengths)])
+            yield pa.RecordBatch.from_pydict({"query": batch.column("query"), "vec_id": batch.column("vec_id"), "score": pa.array(sums[edges[1:]] - sums[edges[:-1]], pa.int64())})
+
+    return pairs.select("query", "vec_id", "q_vector", "vector").mapInArrow(score, "query bigint, vec_id bigint, score bigint")
+
+
+def _best(scored: DataFrame, key: str, k: int) -> DataFrame:
+    order = Window.partitionBy(key).orderBy(F.desc("score"), "vec_id")
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE) -> DataFrame:
@@ -160,63 +188,53 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE)
     Columns used: vec_id, embedding. Candidates of a query are all rows but those of its own vec_id, of its
     vector's length; ties go to the smaller vec_id. Vectors that are null or hold null or non-finite
     components, and rows without vec_id, take no part. Rows that repeat both columns count once. A query
-    with fewer candidates gets them all. Every block of queries meets every block of vectors in a task
-    of its own, so memory is bounded by the blocks; a block of queries keeps k scores a query.
+    with fewer candidates gets them all; an empty table gives an empty one. Of equal vectors only the k + 1
+    smallest vec_ids enter the file, since no query can want another one. Every block of queries meets
+    every block of cells in a task of its own, so memory is bounded by the blocks; what is read of exact vectors
+    grows with the candidates, not with the meetings.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "vafile")
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), whole(F.col("embedding"), scale).alias("vector")).distinct()
-    rows = scratch.put(rows, "rows")
+    numbered = lambda df: df.withColumn("row", F.monotonically_increasing_id())
+    rows = scratch.put(rows, "all")
+    queries = scratch.put(numbered(rows.where(is_query)), "queries")
+    # The cut is made in each task before the shuffle, so a vector of very many rows is no hot group.
+    same = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
+    rows = scratch.put(numbered(rows.withColumn("same", same).where(F.col("same") <= k + 1).drop("same")), "rows")
     file = scratch.put(_with_cells(_blocks(rows, VECTORS)), "file")
-    asked = _blocks(rows.where(is_query), QUERIES).select(
-        F.col("block").alias("q_block"), "dims", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")
-    )
+    asked = _blocks(queries, QUERIES).select("dims", *(F.col(old).alias(new) for old, new in (
+        ("block", "q_block"), ("rows", "q_rows"), ("ids", "q_ids"), ("vectors", "q_vectors")
+    )))
     asked = scratch.put(asked, "asked")
     # Which blocks meet is known from their numbers alone; each meeting is one row, dealt to a task by its own number.
     plan = asked.select("q_block", "dims").join(file.select("block", "dims"), "dims")
     plan = scratch.put(plan.withColumn("meeting", F.monotonically_increasing_id()), "plan")
     tasks = partitions(spark)
 
-    def meetings(*columns: str) -> DataFrame:
-        left = plan.select("meeting", "block").join(file.select("block", "dims", *columns), "block").repartition(tasks, "meeting")
+    def meetings(asked: DataFrame) -> DataFrame:
+        left = plan.select("meeting", "block").join(file, "block").repartition(tasks, "meeting")
         right = plan.select("meeting", "q_block").join(asked.drop("dims"), "q_block").repartition(tasks, "meeting")
         return left.join(right.hint("merge"), "meeting")
 
-    scan = ("ids", "low", "width", "cells")
-    scratch.keep_only("file", "asked", "plan")
-    limits = scratch.put(_thresholds(meetings(*scan), k), "limits")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            ids, q_ids, queries, cells, low, width = _open(row)
-            exact = np.frombuffer(row["vectors"], np.float64).reshape(len(ids), row["dims"])
-            limit = np.frombuffer(row["best"], np.float64).reshape(-1, k).min(axis=1)
-            upper = _bounds(queries, cells, low, width)[1]
-            upper[q_ids[:, None] == ids[None, :]] = -np.inf
-            out = {"query_id": [], "vec_id": [], "score": []}
-            for q in range(len(q_ids)):
-                near = np.flatnonzero((upper[q] >= limit[q]) & (upper[q] > -np.inf))
-                near = near[np.argsort(-upper[q][near], kind="stable")]
-                found_ids, found = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                step = 2 * k
-                for at in range(0, len(near), step):
-                    if len(found) >= k and found[k - 1] > upper[q][near[at]]:
-                        break
-                    read = near[at:at + step]
-                    found = np.concatenate([found, _exact(queries[q:q + 1], exact[read])[0]])
-                    found_ids = np.concatenate([found_ids, ids[read]])
-                    best = np.lexsort((found_ids, -found))[:k]
-                    found, found_ids = found[best], found_ids[best]
-                # The k best of all blocks reach the threshold, so nothing below it is of use.
-                best = found >= limit[q]
-                out["query_id"].append(np.full(best.sum(), q_ids[q]))
-                out["vec_id"].append(found_ids[best])
-                out["score"].append(found[best])
-            yield pa.RecordBatch.from_pydict({c: pa.array(np.concatenate(v), pa.int64()) for c, v in out.items()})
-
-    asked = asked.join(limits, "q_block")
-    found = meetings(*scan, "vectors").mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    kept = ("rows", "queries", "file", "asked", "plan")
+    scratch.keep_only(*kept)
+    limits = scratch.put(_thresholds(meetings(asked), k), "limits")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("upper"), "row"))
+    near = scratch.put(_candidates(meetings(asked.join(limits, "q_block")), k).withColumn("place", place), "near")
+    scratch.keep_only("rows", "queries", "near")
+
+    exact = rows.select("row", "vec_id", "vector")
+    asking = queries.select(F.col("row").alias("query"), F.col("vector").alias("q_vector"))
+    read, step = 0, 2 * k
+    best, left = None, near
+    while read == 0 or left.limit(1).count():
+        new = _scored(left.where(F.col("place") <= read + step).join(exact, "row").join(asking, "query"))
+        best = scratch.put(_best(new if best is None else best.drop("rank").unionByName(new), "query", k), "best")
+        read, step = read + step, 2 * step
+        certain = best.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k)
+        left = near.where(F.col("place") > read).join(certain, "query", "left").where(F.col("least").isNull() | (F.col("upper") >= F.col("least"))).drop("n", "least")
+    scratch.keep_only("queries", "best")
+    found = best.drop("rank").join(queries.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id")), "query")
+    return _best(found, "query_id", k).select("query_id", "rank", "vec_id", "score")

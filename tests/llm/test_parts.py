@@ -181,6 +181,35 @@ def test_top_k_against_all_scores(store, monkeypatch, dims):
     assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == want
 
 
+def test_top_k_of_equal_vectors_and_ids(store, monkeypatch):
+    """Large groups of equal vectors, ids with several vectors, repeated rows, and more ties than any step reads."""
+    monkeypatch.setattr(vafile, "VECTORS", 16)
+    monkeypatch.setattr(vafile, "QUERIES", 3)
+    chance = np.random.default_rng(8)
+    rows = [(k % 90, [1.0, -0.25] if k % 3 else (chance.integers(-90, 90, 2) / 64).tolist()) for k in range(150)]
+    rows += [(k, [0.0, float(k % 2)]) for k in range(200, 320)] + rows[:20]
+    got = vafile.top_k(store(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 4)
+    whole = sorted({(k, tuple(int(np.floor(64 * x)) for x in v)) for k, v in rows})
+    want = []
+    for q in sorted({k for k, _ in whole if k % 20 == 0}):
+        best = sorted((-sum(a * b for a, b in zip(own, v)), k) for at, own in whole if at == q for k, v in whole if k != q)
+        want += [(q, place + 1, b[1], -b[0]) for place, b in enumerate(best[:4])]
+    assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == want
+
+
+def test_exact_vectors_are_read_for_candidates_only(store, monkeypatch):
+    """Far from all rows reach a query's threshold, and no row that does not is read."""
+    chance = np.random.default_rng(3)
+    vectors = (chance.normal(size=(3000, 16)) * 30).round()
+    rows = [(k, (v / 64).tolist()) for k, v in enumerate(vectors)]
+    seen = []
+    scored = vafile._scored
+    monkeypatch.setattr(vafile, "_scored", lambda pairs: (seen.append(pairs.count()), scored(pairs))[1])
+    got = vafile.top_k(store(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0, 5).collect()
+    want = {(q, v) for q in range(0, 3000, 100) for v in sorted((v for v in range(3000) if v != q), key=lambda v: (-int(vectors[q] @ vectors[v]), v))[:5]}
+    assert {(r.query_id, r.vec_id) for r in got} == want and 30 * 5 <= sum(seen) < 30 * 300
+
+
 def test_bounds_hold():
     chance = np.random.default_rng(5)
     vectors, queries = chance.integers(-40, 40, (50, 6)).astype(float), chance.integers(-40, 40, (9, 6)).astype(float)
