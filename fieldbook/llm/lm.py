@@ -6,6 +6,10 @@ last pair, and the skips to the second and third before), then the leaf in the c
 features, by two small softmaxes; inside a shared leaf a token has its add-one share of the counts, and
 tokens never seen have one share in every leaf.
 
+Single tokens before are features by their leaf; the last pair is one by the two tokens themselves, whatever
+their number. Pairs and class-wise features are hashed into tables whose rows grow with the square root of the
+distinct tokens counted in training (``table_rows``).
+
 Counts cover all training texts. Gradient steps run in the tasks, from shared weights; after a round, each
 feature's changes are averaged over tasks by how often a task met the feature. A round steps on every
 ``rounds``-th position of a text, each round from another one, so that the rounds together step once on
@@ -29,9 +33,9 @@ CLASSES = MEMBERS = 32
 SHARED = 64
 OWN = CLASSES * MEMBERS - SHARED
 START = CLASSES * MEMBERS
-PAIRS, CLASSWISE = 1 << 13, 1 << 14
-FEATURES = 3 * (START + 1) + PAIRS
-ROWS = FEATURES + CLASSWISE
+SINGLES = 3 * (START + 1)
+LEAST_PAIRS, LEAST_CLASSWISE = 1 << 13, 1 << 14
+ROWS_BY_ROOT = 8
 BLOCK = 256
 # Tokens whose counts every task holds; the counts of all others are looked up by bucket.
 CACHED = 1 << 16
@@ -59,6 +63,17 @@ def shared_leaf(last: np.ndarray) -> np.ndarray:
     return (mixed(last.astype(np.uint64)) % np.uint64(SHARED)).astype(np.uint8)
 
 
+def table_rows(n_distinct: int, least: int) -> int:
+    """Rows of a hashed table: the power of two from ``ROWS_BY_ROOT`` times the root of the distinct tokens up.
+
+    A row has 128 bytes: 10^7 distinct tokens give 4 MB a table, 10^9 give 32 MB.
+    """
+    rows = least
+    while rows * rows < ROWS_BY_ROOT ** 2 * n_distinct:
+        rows *= 2
+    return rows
+
+
 def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     bucket = (keys % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -109,7 +124,10 @@ def counted(training: DataFrame, buckets: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Cached tokens with counts and leaves, the leaves' priors, and the weights of all feature rows."""
+    """Cached tokens with counts and leaves, the leaves' priors, and the weights of all feature rows.
+
+    Rows of weights: three times the leaves, ``pairs``, then the class-wise rows.
+    """
 
     keys: np.ndarray
     times: np.ndarray
@@ -118,6 +136,7 @@ class Model:
     class_prior: np.ndarray
     member_prior: np.ndarray
     weights: np.ndarray
+    pairs: int
     n_tokens: int
     n_distinct: int
 
@@ -144,12 +163,16 @@ def prepared(counts: DataFrame) -> Model:
     sizes, leaf_tokens, leaf_distinct = (np.array([x or 0 for x in part], np.int64) for part in np.split(np.array(row[2:], object), 3))
     # The smallest power of two with at most CACHED tokens of so many occurrences or more.
     least = next((k for k in range(64) if sizes[k:].sum() <= CACHED), 63)
+    # If that leaves too few for the leaves, as with very many words of like counts, a hashed share of the next power fills up.
+    room, band = CACHED // 2, max(0, least - 1)
+    share = room / sizes[band] if sizes[least:].sum() < OWN and least > 0 and sizes[band] else 0.0
+    under = np.uint64(min(share, 0.5) * 2.0 ** 64)
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, t, s in zip(batch.column("keys"), batch.column("times"), batch.column("leaves")):
                 keys, times = np.frombuffer(k.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.int64)
-                keep = times >= 1 << least
+                keep = (times >= 1 << least) | ((times >= 1 << band) & (mixed(keys) < under))
                 leaves = np.frombuffer(s.as_buffer(), np.uint8)[keep]
                 yield pa.RecordBatch.from_pydict({"key": pa.array(keys[keep].view(np.int64)), "times": pa.array(times[keep]), "leaf": pa.array(leaves.astype(np.int32))})
 
@@ -166,26 +189,32 @@ def prepared(counts: DataFrame) -> Model:
         logs = np.log(mass)
         classes = np.log(mass.sum(axis=1))
     floor = lambda x: np.maximum(x, -1e4).astype(np.float32)
-    return Model(keys, times, leaf, total, floor(classes), floor(logs), np.zeros((ROWS, CLASSES), np.float32), n_tokens, n_distinct)
+    pairs, inner = table_rows(n_distinct, LEAST_PAIRS), table_rows(n_distinct, LEAST_CLASSWISE)
+    weights = np.zeros((SINGLES + pairs + inner, CLASSES), np.float32)
+    return Model(keys, times, leaf, total, floor(classes), floor(logs), weights, pairs, n_tokens, n_distinct)
 
 
-def features(leaf: np.ndarray, first: np.ndarray) -> np.ndarray:
+def features(model: Model, keys: np.ndarray, leaf: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Class feature rows of every position: last, second and third token before, and the last pair."""
     place = np.arange(len(leaf)) - np.repeat(first[:-1], np.diff(first))
-    back = []
-    for k in (1, 2, 3):
-        before = np.full(len(leaf), START)
-        before[k:] = leaf[:-k] if k < len(leaf) else before[k:]
-        before[place < k] = START
-        back.append(before)
-    pair = mixed((back[0] * (START + 1) + back[1]).astype(np.uint64)) % np.uint64(PAIRS)
-    return np.stack([back[0], back[1] + START + 1, back[2] + 2 * (START + 1), pair.astype(np.int64) + 3 * (START + 1)])
+
+    def back(k: int, values: np.ndarray, none) -> np.ndarray:
+        before = np.full(len(values), none, values.dtype)
+        if k < len(values):
+            before[k:] = values[:-k]
+        before[place < k] = none
+        return before
+
+    singles = [back(k, leaf, START) + (k - 1) * (START + 1) for k in (1, 2, 3)]
+    pair = mixed(mixed(back(1, keys, 0)) + back(2, keys, 0)) % np.uint64(model.pairs)
+    return np.stack([*singles, pair.astype(np.int64) + SINGLES])
 
 
-def classwise(rows: np.ndarray, of: np.ndarray) -> np.ndarray:
+def classwise(model: Model, rows: np.ndarray, of: np.ndarray) -> np.ndarray:
     """Leaf feature rows: the last and the second token before, with the class."""
-    hashed = mixed((rows[:2] * CLASSES + of).astype(np.uint64)) % np.uint64(CLASSWISE)
-    return hashed.astype(np.int64) + FEATURES
+    before = SINGLES + model.pairs
+    hashed = mixed((rows[:2] * CLASSES + of).astype(np.uint64)) % np.uint64(len(model.weights) - before)
+    return hashed.astype(np.int64) + before
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
@@ -196,7 +225,7 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
 def _step(model: Model, weights: np.ndarray, rows: np.ndarray, leaf: np.ndarray) -> tuple[list, np.ndarray]:
     """Log-probabilities per class and per leaf of the right class, and the right leaf's."""
     of, member = leaf // MEMBERS, leaf % MEMBERS
-    inner = classwise(rows, of)
+    inner = classwise(model, rows, of)
     z = model.class_prior + sum(weights[r] for r in rows)
     y = model.member_prior[of] + sum(weights[r] for r in inner)
     z, y = _log_softmax(z), _log_softmax(y)
@@ -209,13 +238,14 @@ def descend(model: Model, parts: Iterator[pa.Array], turn: int, rounds: int, rat
 
     The steps are on the places of each text that leave ``turn`` by ``rounds``.
     """
-    weights, squares = model.weights.copy(), np.full(ROWS, first_square, np.float32)
-    met = np.zeros(ROWS, np.int64)
+    weights, squares = model.weights.copy(), np.full(len(model.weights), first_square, np.float32)
+    met = np.zeros(len(weights), np.int64)
+    narrow = np.min_scalar_type(len(weights))
     for texts in parts:
         for a, n in pieces(texts):
             keys, last, first = tokens(texts.slice(a, n))
             leaf = model.leaves(keys, last)[0]
-            rows = features(leaf, first)
+            rows = features(model, keys, leaf, first)
             place = np.arange(len(leaf)) - np.repeat(first[:-1], np.diff(first))
             chosen = np.flatnonzero(place % rounds == turn)
             for b in range(0, len(chosen), batch):
@@ -224,7 +254,7 @@ def descend(model: Model, parts: Iterator[pa.Array], turn: int, rounds: int, rat
                     pull = -np.exp(logs)
                     pull[np.arange(len(at)), right] += 1
                     # Narrow numbers are sorted by radix.
-                    flat = found.ravel().astype(np.min_scalar_type(ROWS))
+                    flat = found.ravel().astype(narrow)
                     order = np.argsort(flat, kind="stable")
                     ids = flat[order]
                     starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
@@ -258,7 +288,7 @@ def trained(training: DataFrame, model: Model, rounds: int = 2, rate: float = 0.
     Every position of ``training`` is stepped on in one of the rounds.
 
     A task reports its changes by blocks of rows; blocks are averaged 256 tasks at a time until one
-    is left, so no task gathers more. The weights have a fixed size.
+    is left, so no task gathers more. The weights grow as ``table_rows`` says.
     """
     spark = training.sparkSession
     for turn in range(rounds):
@@ -267,7 +297,7 @@ def trained(training: DataFrame, model: Model, rounds: int = 2, rate: float = 0.
         def run(batches: Iterator[pa.RecordBatch], turn=turn, shared=shared) -> Iterator[pa.RecordBatch]:
             task = TaskContext.get().partitionId()
             change, met = descend(shared.value, (b.column("text") for b in batches), turn, rounds, rate)
-            for block in range(-(-ROWS // BLOCK)):
+            for block in range(-(-len(met) // BLOCK)):
                 part = slice(block * BLOCK, (block + 1) * BLOCK)
                 if met[part].any():
                     fill = BLOCK - len(met[part])
@@ -283,15 +313,15 @@ def trained(training: DataFrame, model: Model, rounds: int = 2, rate: float = 0.
             changes = changes.groupBy("block", F.floor(F.col("task") / BLOCK).alias("part")).applyInArrow(_averaged, CHANGES)
         weights = model.weights.copy()
         for row in changes.groupBy("block").applyInArrow(_averaged, CHANGES).collect():
-            part = slice(row.block * BLOCK, min(ROWS, (row.block + 1) * BLOCK))
+            part = slice(row.block * BLOCK, min(len(weights), (row.block + 1) * BLOCK))
             weights[part] += np.frombuffer(row.change, np.float32).reshape(BLOCK, CLASSES)[:part.stop - part.start]
         model = replace(model, weights=weights)
     return model
 
 
-def leaf_scores(model: Model, leaf: np.ndarray, first: np.ndarray, batch: int = 1 << 14) -> np.ndarray:
+def leaf_scores(model: Model, keys: np.ndarray, leaf: np.ndarray, first: np.ndarray, batch: int = 1 << 14) -> np.ndarray:
     """The model's log-probability of every position's leaf."""
-    rows = features(leaf, first)
+    rows = features(model, keys, leaf, first)
     return np.concatenate([_step(model, model.weights, rows[:, b:b + batch], leaf[b:b + batch])[1] for b in range(0, len(leaf), batch)] or [np.zeros(0)])
 
 
@@ -332,7 +362,7 @@ def scored(docs: DataFrame, rounds: int = 2) -> DataFrame:
                 times = np.where(cached, model.times[at] if len(model.times) else 0, 0)
                 seen = np.log10(times + 1.0)
                 share += np.where(leaf >= OWN, seen, 0.0)
-                model_sum = _sums(leaf_scores(model, leaf, first) / np.log(10) + share, first)
+                model_sum = _sums(leaf_scores(model, keys, leaf, first) / np.log(10) + share, first)
                 part = batch.slice(a, n)
                 info = pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "n_tokens": pa.array(np.diff(first)),

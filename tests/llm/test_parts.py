@@ -144,14 +144,33 @@ def test_windows_and_spans():
     assert third["n_words"] == 0 and (fourth["n_hit"], fourth["items"], fourth["spans"]) == (1, [3], [{"start": 10, "end": 13}])
 
 
+def test_tables_of_the_model_grow_with_the_vocabulary(store):
+    sizes = [lm.table_rows(n, lm.LEAST_PAIRS) for n in (0, 10**5, 10**7, 10**9)]
+    assert sizes == [8192, 8192, 32768, 262144]
+    few = lm.prepared(lm.counted(store([(1, "a b c")], "doc_id long, text string", 1), 2))
+    many = lm.prepared(lm.counted(store([(1, " ".join(f"w{k}" for k in range(1_200_000)))], "doc_id long, text string", 1), 2))
+    assert (few.pairs, many.pairs, many.n_distinct) == (8192, 16384, 1_200_001) and len(many.weights) == lm.SINGLES + 2 * 16384
+    # All words but one occur once, more than a task caches; a hashed share of them still gets leaves.
+    assert lm.OWN <= len(many.keys) <= lm.CACHED and np.sum(many.leaf >= 0) == lm.OWN
+
+
+def test_pairs_are_those_of_the_words_themselves(store):
+    """Rare words of one ending share a leaf; pairs of them do not share a row."""
+    model = lm.prepared(lm.counted(store([(1, "a b c")], "doc_id long, text string", 1), 2))
+    keys, last, first = lm.tokens(pa.array([f"{x}ing {y}ing end" for x in ("walk", "runn", "sail") for y in ("walk", "runn", "sail")]))
+    rows = lm.features(model, keys, model.leaves(keys, last)[0], first)[:, 2::4]
+    assert len(set(rows[0])) == len(set(rows[1])) == 1 and len(set(rows[3])) == 9
+
+
 def test_gradient_is_that_of_the_likelihood():
     chance = np.random.default_rng(3)
     model = lm.Model(
         np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.ones(lm.SHARED), chance.normal(size=lm.CLASSES).astype(np.float32),
-        chance.normal(size=(lm.CLASSES, lm.MEMBERS)).astype(np.float32), chance.normal(size=(lm.ROWS, lm.CLASSES)) * 0.1, 0, 0,
+        chance.normal(size=(lm.CLASSES, lm.MEMBERS)).astype(np.float32), chance.normal(size=(lm.SINGLES + 700 + 900, lm.CLASSES)) * 0.1, 700, 0, 0,
     )
     leaf = chance.integers(0, lm.START, 200)
-    rows = lm.features(leaf, np.array([0, 80, 80, 200]))
+    rows = lm.features(model, chance.integers(0, 1 << 62, 200).astype(np.uint64), leaf, np.array([0, 80, 80, 200]))
+    assert rows[3].min() >= lm.SINGLES and rows[3].max() < lm.SINGLES + 700 <= lm.classwise(model, rows, leaf // lm.MEMBERS).min()
     parts, scores = lm._step(model, model.weights, rows, leaf)
     assert np.all(scores < 0)
     # All leaves of a position together have the probability 1.
@@ -310,7 +329,7 @@ def test_every_position_trains(store):
     model = lm.trained(training, lm.prepared(lm.counted(training, 4)))
     keys, last, first = lm.tokens(pa.array([t for _, t in texts]))
     leaf = model.leaves(keys, last)[0]
-    rows = lm.features(leaf, first)
+    rows = lm.features(model, keys, leaf, first)
     assert set(np.unique(rows[0])) >= set(leaf[keys != lm.END])
     assert np.abs(model.weights[np.unique(rows)]).max(axis=1).min() > 0
     met = sum(lm.descend(model, iter([pa.array([t for _, t in texts])]), turn, 2, 0.3)[1] for turn in range(2))
