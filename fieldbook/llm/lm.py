@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,11 @@ SINGLES = 3 * (START + 1)
 LEAST_PAIRS, LEAST_CLASSWISE = 1 << 13, 1 << 14
 ROWS_BY_ROOT = 8
 BLOCK = 256
+# Features of up to so many positions of a batch are summed position by position.
+SHORT = 8
 # Tokens whose counts every task holds; the counts of all others are looked up by bucket.
 CACHED = 1 << 16
+PREFIX = 17
 END = np.uint64(0x0E9D0F7E870F7E87)
 
 
@@ -140,12 +144,26 @@ class Model:
     n_tokens: int
     n_distinct: int
 
+    @cached_property
+    def prefixes(self) -> np.ndarray:
+        """Where the cached tokens of each prefix of ``PREFIX`` bits begin; a last entry closes them."""
+        return np.searchsorted(self.keys >> np.uint64(64 - PREFIX), np.arange((1 << PREFIX) + 1, dtype=np.uint64))
+
     def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place among the cached tokens, and whether the token is one of them."""
         if not len(self.keys):
             return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+        prefix = (keys >> np.uint64(64 - PREFIX)).astype(np.int64)
+        at, stop = self.prefixes[prefix], self.prefixes[prefix + 1]
+        at = np.minimum(at, len(self.keys) - 1)
+        cached = self.keys[at] == keys
+        # Keys are hashes: a prefix has few of them, and most tokens are found at once.
+        left = np.flatnonzero(~cached & (at + 1 < stop))
+        while len(left):
+            at[left] += 1
+            cached[left] = self.keys[at[left]] == keys[left]
+            left = left[~cached[left] & (at[left] + 1 < stop[left])]
+        return at, cached
 
     def leaves(self, keys: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, cached = self.look(keys)
@@ -217,20 +235,63 @@ def classwise(model: Model, rows: np.ndarray, of: np.ndarray) -> np.ndarray:
     return hashed.astype(np.int64) + before
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _logits(model: Model, weights: np.ndarray, rows: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Leaf feature rows; logits per class, then per leaf of the right class, less the largest of a position; what is right."""
+    n, of = len(leaf), leaf // MEMBERS
+    inner = classwise(model, rows, of)
+    z, more = np.empty((2 * n, CLASSES), weights.dtype), np.empty((n, CLASSES), weights.dtype)
+    for part, found, prior in ((z[:n], rows, model.class_prior), (z[n:], inner, model.member_prior[of])):
+        # Rows are within the weights; "clip" only spares numpy a copy.
+        np.take(weights, found[0], axis=0, out=part, mode="clip")
+        for r in found[1:]:
+            part += np.take(weights, r, axis=0, out=more, mode="clip")
+        part += prior
+    # Numpy finds the largest of many short rows faster down the columns of their transpose.
+    z -= np.ascontiguousarray(z.T).max(axis=0)[:, None]
+    return inner, z, np.concatenate([of, leaf % MEMBERS])
+
+
+def _log_sums(z: np.ndarray) -> np.ndarray:
+    return np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
 def _step(model: Model, weights: np.ndarray, rows: np.ndarray, leaf: np.ndarray) -> tuple[list, np.ndarray]:
     """Log-probabilities per class and per leaf of the right class, and the right leaf's."""
-    of, member = leaf // MEMBERS, leaf % MEMBERS
-    inner = classwise(model, rows, of)
-    z = model.class_prior + sum(weights[r] for r in rows)
-    y = model.member_prior[of] + sum(weights[r] for r in inner)
-    z, y = _log_softmax(z), _log_softmax(y)
-    at = np.arange(len(leaf))
-    return [(rows, z, of), (inner, y, member)], z[at, of] + y[at, member]
+    inner, z, right = _logits(model, weights, rows, leaf)
+    z -= _log_sums(z)
+    n = len(leaf)
+    own = z[np.arange(2 * n), right]
+    return [(rows, z[:n], right[:n]), (inner, z[n:], right[n:])], own[:n] + own[n:]
+
+
+def _order(rows: np.ndarray) -> np.ndarray:
+    """The stable order of row numbers below 2**32. Numpy sorts numbers of 16 bits by radix, wider ones slower."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    high = (rows >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
+
+
+def _summed(values: np.ndarray, of: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``values[of]`` over the runs that begin at ``starts``.
+
+    ``reduceat`` takes its time per run and column, so only runs of more than ``SHORT`` go there; of all shorter
+    ones the second rows are added at once, then the third, and so on.
+    """
+    length = np.diff(np.append(starts, len(of)))
+    sums = np.take(values, of[starts], axis=0, mode="clip")
+    several = np.flatnonzero((length > 1) & (length <= SHORT))
+    several = several[np.argsort(-length[several].astype(np.int8), kind="stable")]
+    begin, rest = starts[several], np.searchsorted(-length[several], -np.arange(2, SHORT + 1), "right")
+    added = np.take(values, of[begin + 1], axis=0, mode="clip")
+    for k, n in enumerate(rest[1:], 2):
+        added[:n] += np.take(values, of[begin[:n] + k], axis=0, mode="clip")
+    sums[several] += added
+    many = np.flatnonzero(length > SHORT)
+    if len(many):
+        ends = np.cumsum(length[many])
+        places = np.arange(ends[-1]) + np.repeat(starts[many] - ends + length[many], length[many])
+        sums[many] = np.add.reduceat(np.take(values, of[places], axis=0, mode="clip"), ends - length[many], axis=0)
+    return sums
 
 
 def descend(model: Model, parts: Iterator[pa.Array], turn: int, rounds: int, rate: float, batch: int = 1024, first_square: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
@@ -240,7 +301,6 @@ def descend(model: Model, parts: Iterator[pa.Array], turn: int, rounds: int, rat
     """
     weights, squares = model.weights.copy(), np.full(len(model.weights), first_square, np.float32)
     met = np.zeros(len(weights), np.int64)
-    narrow = np.min_scalar_type(len(weights))
     for texts in parts:
         for a, n in pieces(texts):
             keys, last, first = tokens(texts.slice(a, n))
@@ -250,19 +310,24 @@ def descend(model: Model, parts: Iterator[pa.Array], turn: int, rounds: int, rat
             chosen = np.flatnonzero(place % rounds == turn)
             for b in range(0, len(chosen), batch):
                 at = chosen[b:b + batch]
-                for found, logs, right in _step(model, weights, rows[:, at], leaf[at])[0]:
-                    pull = -np.exp(logs)
-                    pull[np.arange(len(at)), right] += 1
-                    # Narrow numbers are sorted by radix.
-                    flat = found.ravel().astype(narrow)
-                    order = np.argsort(flat, kind="stable")
-                    ids = flat[order]
-                    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-                    sums = np.add.reduceat(pull[order % len(at)], starts, axis=0)
-                    ids = ids[starts]
-                    met[ids] += np.diff(np.concatenate([starts, [len(flat)]]))
-                    squares[ids] += (sums ** 2).mean(axis=1)
-                    weights[ids] += rate * sums / np.sqrt(squares[ids])[:, None]
+                n, outer = len(at), rows[:, at]
+                inner, pull, right = _logits(model, weights, outer, leaf[at])
+                pull -= _log_sums(pull)
+                np.negative(np.exp(pull, out=pull), out=pull)
+                pull[np.arange(2 * n), right] += 1
+                # Class-wise rows are never the others, so one pass serves both.
+                flat = np.concatenate([outer.ravel(), inner.ravel()])
+                order = _order(flat)
+                ids = flat[order]
+                starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+                sums = _summed(pull, order % n + n * (order >= 4 * n), starts)
+                ids = ids[starts]
+                met[ids] += np.diff(np.append(starts, len(flat)))
+                squares[ids] += (sums ** 2).mean(axis=1)
+                sums *= rate
+                sums /= np.sqrt(squares[ids])[:, None]
+                sums += np.take(weights, ids, axis=0, mode="clip")
+                weights[ids] = sums
     return weights - model.weights, met
 
 
@@ -319,10 +384,16 @@ def trained(training: DataFrame, model: Model, rounds: int = 2, rate: float = 0.
     return model
 
 
-def leaf_scores(model: Model, keys: np.ndarray, leaf: np.ndarray, first: np.ndarray, batch: int = 1 << 14) -> np.ndarray:
+def leaf_scores(model: Model, keys: np.ndarray, leaf: np.ndarray, first: np.ndarray, batch: int = 1 << 10) -> np.ndarray:
     """The model's log-probability of every position's leaf."""
     rows = features(model, keys, leaf, first)
-    return np.concatenate([_step(model, model.weights, rows[:, b:b + batch], leaf[b:b + batch])[1] for b in range(0, len(leaf), batch)] or [np.zeros(0)])
+    scores = np.zeros(len(leaf), model.weights.dtype)
+    for b in range(0, len(leaf), batch):
+        part = slice(b, min(len(leaf), b + batch))
+        _, z, right = _logits(model, model.weights, rows[:, part], leaf[part])
+        own = z[np.arange(len(z)), right] - _log_sums(z)[:, 0]
+        scores[part] = own[:len(own) // 2] + own[len(own) // 2:]
+    return scores
 
 
 def held_out(doc_id: Column) -> Column:

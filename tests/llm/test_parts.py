@@ -2,7 +2,9 @@
 
 import random
 import struct
+import timeit
 import zipfile
+from dataclasses import replace
 
 import brute
 import numpy as np
@@ -185,6 +187,64 @@ def test_gradient_is_that_of_the_likelihood():
     assert (lm._step(model, moved, rows, leaf)[1].sum() - scores.sum()) / 1e-3 == pytest.approx(pull, rel=0.02, abs=0.02)
 
 
+def test_steps_are_those_of_plain_sums(store):
+    """Weights after the steps of a task, bit by bit, against one feature after the other by ``reduceat``."""
+    chance = np.random.default_rng(5)
+    words = chance.zipf(1.3, 30_000) % 5000
+    texts = pa.array([" ".join(f"w{k}" for k in part) for part in np.split(words, np.sort(chance.integers(0, len(words), 400)))])
+    model = lm.prepared(lm.counted(store([(k, t.as_py()) for k, t in enumerate(texts)], "doc_id long, text string", 1), 2))
+    keys, last, first = lm.tokens(texts)
+    leaf = model.leaves(keys, last)[0]
+    rows, place = lm.features(model, keys, leaf, first), np.concatenate([np.arange(n) for n in np.diff(first)])
+    weights, squares, met = model.weights.copy(), np.ones(len(model.weights), np.float32), np.zeros(len(model.weights), np.int64)
+    chosen, longest = np.flatnonzero(place % 2 == 1), 0
+    for at in np.split(chosen, range(1024, len(chosen), 1024)):
+        for found, logs, right in lm._step(model, weights, rows[:, at], leaf[at])[0]:
+            pull = -np.exp(logs)
+            pull[np.arange(len(at)), right] += 1
+            order = np.argsort(found.ravel(), kind="stable")
+            ids, starts, times = np.unique(found.ravel()[order], return_index=True, return_counts=True)
+            sums = np.add.reduceat(pull[order % len(at)], starts, axis=0)
+            met[ids] += times
+            squares[ids] += (sums ** 2).mean(axis=1)
+            weights[ids] += 0.3 * sums / np.sqrt(squares[ids])[:, None]
+            longest = max(longest, times.max())
+    change, times = lm.descend(model, iter([texts]), 1, 2, 0.3)
+    assert longest > 10 * lm.SHORT and np.array_equal(times, met)
+    assert np.array_equal(change, weights - model.weights)
+
+
+def test_order_of_rows_of_large_tables():
+    chance = np.random.default_rng(8)
+    for top in (1, 1 << 16, (1 << 16) + 1, 300_000, 1 << 32):
+        rows = chance.choice(np.append(chance.integers(0, top, 3000), top - 1), 6144)
+        assert np.array_equal(lm._order(rows), np.argsort(rows, kind="stable"))
+
+
+def test_sums_of_many_short_runs():
+    chance = np.random.default_rng(6)
+    values = chance.normal(size=(2048, lm.CLASSES)).astype(np.float32)
+    for lengths in ([1], [1, 1], [5], [lm.SHORT], [lm.SHORT + 1], [300], chance.integers(1, lm.SHORT + 1, 500), chance.integers(1, 40, 500), [1] * 9 + [2, 700]):
+        of, starts = chance.integers(0, len(values), sum(lengths)), np.cumsum(lengths) - lengths
+        assert np.array_equal(lm._summed(values, of, starts), np.add.reduceat(values[of], starts, axis=0))
+    # The runs of a batch: most rows are met once.
+    lengths = chance.choice([1, 2, 3, 8, 30], 2600, p=[0.75, 0.12, 0.07, 0.04, 0.02])
+    of, starts = chance.integers(0, len(values), sum(lengths)), np.cumsum(lengths) - lengths
+    seconds = lambda f: min(timeit.repeat(f, number=5, repeat=7))
+    assert seconds(lambda: lm._summed(values, of, starts)) < 0.6 * seconds(lambda: np.add.reduceat(values[of], starts, axis=0))
+
+
+def test_cached_tokens_are_found(store):
+    chance = np.random.default_rng(7)
+    model = lm.prepared(lm.counted(store([(1, " ".join(f"w{k}" for k in range(40_000)))], "doc_id long, text string", 1), 2))
+    close = np.unique(np.concatenate([model.keys, model.keys[:300] + np.uint64(1), np.arange(5, dtype=np.uint64), ~np.arange(5, dtype=np.uint64)]))
+    for keys in (model.keys, close, close[2000:2001], close[:0]):
+        some = replace(model, keys=keys)
+        asked = np.concatenate([close, close + np.uint64(1), chance.integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2)])
+        at, cached = some.look(asked)
+        assert np.array_equal(cached, np.isin(asked, keys)) and np.array_equal(keys[at[cached]], asked[cached])
+
+
 @pytest.mark.parametrize("dims", [1, 5, 40])
 def test_top_k_against_all_scores(store, monkeypatch, dims):
     monkeypatch.setattr(vafile, "VECTORS", 30)
